@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import quality_rules, simhash
+from quarry.llm import packing, quality_rules, simhash, token_store
+from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
+
+
+@_query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+@_query("op8_token_store")
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), vocabulary=49_408)
