@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import packing, quality_rules, simhash, token_store
+from quarry.llm import packing, quality_rules, sentence_pieces, simhash, token_store
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_token_store")
 def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(_table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"), vocabulary=49_408)
+
+
+@_query("op1_sentence_pieces")
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
