@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import packing, quality_rules, sentence_pieces, simhash, token_store
+from quarry.llm import ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,10 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op1_sentence_pieces")
 def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip_digests(_table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+
+
+@_query("op2_ordinal_quality")
+def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = ordinal_quality.train(docs, _table(spark, sf_dir, "labels"), ordinal_quality.graded_by_labels(), 3)
+    return ordinal_quality.score(docs, model)
