@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store
+from quarry.llm import license_scan, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = ordinal_quality.train(docs, _table(spark, sf_dir, "labels"), ordinal_quality.graded_by_labels(), 3)
     return ordinal_quality.score(docs, model)
+
+
+@_query("op9_license_scan", license_scan.scan_sql())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
