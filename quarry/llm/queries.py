@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import license_scan, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store
+from quarry.llm import license_scan, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store, url_filter
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,12 @@ def op2_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_license_scan", license_scan.scan_sql())
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+#: The rules of the query: (host and path prefix, verdict).
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+@_query("op5_url_filter")
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
