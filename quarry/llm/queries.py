@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import license_scan, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store, url_filter
+from quarry.llm import license_scan, media_store, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store, url_filter
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/"
 @_query("op5_url_filter")
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_query("op4_media_columns")
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_store.media_columns(_table(spark, sf_dir, "documents"))
