@@ -13,10 +13,15 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 def filled(column: pa.Array) -> pa.Array:
-    """Texts with nulls as empty texts, in the large layout so that no batch overflows 32-bit offsets."""
+    """Texts with nulls as empty texts, in the large layout so that no batch overflows 32-bit offsets.
+
+    The texts are copied to the front of a buffer of their own: some Arrow functions (ascii_lower is one) give wrong
+    bytes for a slice whose offsets do not start at zero.
+    """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    whole = pc.fill_null(column.cast(pa.large_string()), "")
+    return whole.take(pa.array(np.arange(len(whole))))
 
 
 def byte_texts(column: pa.Array) -> list[bytes]:
