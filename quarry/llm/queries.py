@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import license_scan, media_store, ordinal_quality, packing, quality_rules, sentence_pieces, simhash, token_store, url_filter
+from quarry.llm import (
+    interpolated_lm,
+    license_scan,
+    media_store,
+    ordinal_quality,
+    packing,
+    quality_rules,
+    sentence_pieces,
+    simhash,
+    token_store,
+    url_filter,
+)
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +87,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op4_media_columns")
 def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_store.media_columns(_table(spark, sf_dir, "documents"))
+
+
+@_query("op3_interpolated_lm")
+def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_texts(_table(spark, sf_dir, "documents"))
