@@ -249,8 +249,8 @@ def score_texts(
     docs: DataFrame,
     orders: int = 3,
     rounds: int = 8,
-    block_bytes: int = 8 << 20,
-    tokens_per_bucket: int = 3_000_000,
+    block_bytes: int = 4 << 20,
+    tokens_per_bucket: int = 1_500_000,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
