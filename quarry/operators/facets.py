@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
+from quarry.operators.graph import page_after
+
 
 def _values(df: DataFrame, name: str) -> Column:
     """A facet column as an array, so scalar and multi-valued facets are handled alike."""
@@ -18,6 +20,11 @@ def _values(df: DataFrame, name: str) -> Column:
     )
 
 
+def _named(name: str, key: str, value: str):
+    """A function of an element that pairs it with a fixed name."""
+    return lambda v: F.struct(F.lit(name).alias(key), v.alias(value))
+
+
 def filter_all(df: DataFrame, filters: dict[str, list[str]], mode: str = "all") -> DataFrame:
     """Keep rows that meet every facet's values; mode "any" accepts one value of each facet instead.
 
@@ -40,11 +47,40 @@ def facet_counts(df: DataFrame, facets: list[str], size: int = 10) -> DataFrame:
     One explode over the facet columns feeds one partial-then-final aggregation on (facet, value); the rank
     runs over the counted values only. Order: count descending, then value.
     """
-    pairs = F.flatten(
-        F.array(*[F.transform(_values(df, f), lambda v, f=f: F.struct(F.lit(f).alias("facet"), v.alias("value"))) for f in facets])
-    )
+    pairs = F.flatten(F.array(*[F.transform(_values(df, f), _named(f, "facet", "value")) for f in facets]))
     counted = (
         df.select(F.explode(pairs).alias("p")).groupBy("p.facet", "p.value").agg(F.count(F.lit(1)).alias("n"))
     )
     rank = F.row_number().over(Window.partitionBy("facet").orderBy(F.desc("n"), "value"))
     return counted.withColumn("rk", rank).filter(F.col("rk") <= size)
+
+
+def facet_counts_in_context(df: DataFrame, filters: dict[str, list[str]]) -> DataFrame:
+    """(facet, value, n): counts of each filtered facet under the filters of the other facets."""
+    parts = []
+    for name in filters:
+        others = {k: v for k, v in filters.items() if k != name}
+        rows = filter_all(df, others).select(F.explode(_values(df, name)).alias("value"))
+        parts.append(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("facet"), "value", "n"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def facet_page(df: DataFrame, facet: str, after: str | None, size: int) -> DataFrame:
+    """(value, n, has_more): a page of a facet's values in order, behind a key."""
+    values = df.select(F.explode(_values(df, facet)).alias("value"))
+    counted = (values.filter(F.col("value") > F.lit(after)) if after is not None else values).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    return page_after(counted, "value", None, size)
+
+
+def facet_search(df: DataFrame, facet: str, term: str, size: int, case_insensitive: bool = False) -> DataFrame:
+    """(value, n): the commonest values that contain the lower-cased term."""
+    value = F.lower("value") if case_insensitive else F.col("value")
+    rows = df.select(F.explode(_values(df, facet)).alias("value")).filter(F.contains(value, F.lit(term.lower())))
+    return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(size)
+
+
+def month_histogram(df: DataFrame, column: str) -> DataFrame:
+    """(month, n) from the first to the last month, months without rows with 0; month as yyyy-MM-dd."""
+    counted = df.filter(F.col(column).isNotNull()).groupBy(F.date_trunc("month", column).alias("m")).agg(F.count(F.lit(1)).alias("n"))
+    span = counted.agg(F.explode(F.sequence(F.min("m"), F.max("m"), F.expr("INTERVAL 1 MONTH"))).alias("m"))
+    return span.join(counted, "m", "left").select(F.date_format("m", "yyyy-MM-dd").alias("month"), F.coalesce("n", F.lit(0)).alias("n"))
