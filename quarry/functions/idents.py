@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-GRAPH = "https://w3id.org/mlentory/mlentory_graph/"
-_IRI = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#\s]+/\S*$"
+#: Where this engine's identifiers live unless a caller names another base.
+GRAPH = "https://example.org/model-graph/"
+_IRI = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#\s]+/\S*\z"
 _HTTP = r"^(?i)https?://[^/?#\s]+"
 
 
@@ -29,12 +30,12 @@ def json_string(value: Column) -> Column:
 
     def escaped(u: Column) -> Column:
         short = {"0022": '\\"', "005C": "\\\\", "000A": "\\n", "000D": "\\r", "0009": "\\t", "0008": "\\b", "000C": "\\f"}
-        out = F.when(u.between("0020", "007F") & ~u.isin("0022", "005C"), F.char(F.conv(u, 16, 10).cast("int")))
+        out = F.when(u.between("0020", "007E") & ~u.isin("0022", "005C"), F.char(F.conv(u, 16, 10).cast("int")))
         for unit, text in short.items():
             out = out.when(u == unit, F.lit(text))
         return out.otherwise(F.concat(F.lit("\\u"), F.lower(u)))
 
-    plain = value.rlike(r"^[ !#-\[\]-~]*$")
+    plain = value.rlike(r"^[ !#-\[\]-~]*\z")
     body = F.when(plain, value).otherwise(F.array_join(F.transform(each, escaped), ""))
     return F.coalesce(F.concat(F.lit('"'), body, F.lit('"')), F.lit("null"))
 

@@ -9,7 +9,7 @@ from quarry.functions import text as tx
 
 
 def chunks(docs: DataFrame, id_col: str, text_col: str, least_words: int = 20) -> DataFrame:
-    """(id_col, id, type, length, parent, htext, phtext, text): the chunks of every Markdown text.
+    """(id_col, chunk_id, type, length, parent, htext, phtext, text): the chunks of every Markdown text.
 
     A section chunk holds a heading and all that stands under it, sub-sections included; code and table blocks are
     chunks of their own; other blocks are "granular", and those of at most `least_words` words are put before the next
@@ -50,7 +50,7 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, least_words: int = 20) -
     above = heads.select(F.col(id_col).alias("__i"), F.col("section").alias("__s"), F.col("htext").alias("phtext"))
     sections = heads.withColumn("up", up).join(whole, [id_col, "section"])
     sections = sections.join(above, (F.col(id_col) == F.col("__i")) & (F.col("up") == F.col("__s")), "left").select(
-        id_col, uid(F.lit("section"), F.col("section")).alias("id"), F.lit("section").alias("type"), words(F.col("text")).alias("length"),
+        id_col, uid(F.lit("section"), F.col("section")).alias("chunk_id"), F.lit("section").alias("type"), words(F.col("text")).alias("length"),
         F.when(F.col("up").isNotNull(), uid(F.lit("section"), F.col("up"))).alias("parent"), "htext", "phtext", "text",
     )
     body = blocks.filter("kind <> 'heading' AND section IS NOT NULL")
@@ -64,9 +64,9 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, least_words: int = 20) -
     )
     named = small.join(heads.select(id_col, "section", F.col("htext").alias("phtext")), [id_col, "section"])
     nothing = F.lit(None).cast("string")
-    granular = named.select(id_col, uid(F.col("kind"), F.col("pos")).alias("id"), F.col("kind").alias("type"), words(F.col("text")).alias("length"), uid(F.lit("section"), F.col("section")).alias("parent"), nothing.alias("htext"), "phtext", "text")
+    granular = named.select(id_col, uid(F.col("kind"), F.col("pos")).alias("chunk_id"), F.col("kind").alias("type"), words(F.col("text")).alias("length"), uid(F.lit("section"), F.col("section")).alias("parent"), nothing.alias("htext"), "phtext", "text")
     loose = blocks.filter("section IS NULL").groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
-    orphans = loose.select(id_col, uid(F.lit("orphan"), F.lit(0)).alias("id"), F.lit("orphan").alias("type"), words(F.col("text")).alias("length"), nothing.alias("parent"), nothing.alias("htext"), nothing.alias("phtext"), "text")
+    orphans = loose.select(id_col, uid(F.lit("orphan"), F.lit(0)).alias("chunk_id"), F.lit("orphan").alias("type"), words(F.col("text")).alias("length"), nothing.alias("parent"), nothing.alias("htext"), nothing.alias("phtext"), "text")
     return sections.unionByName(granular).unionByName(orphans)
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import cut_lineage
+
 
 def neighbourhood(edges: DataFrame, ids: DataFrame, direction: str = "outgoing", depth: int = 1) -> DataFrame:
     """(root, hop, src, rel, dst): the edges around each id, hop by hop, each edge once for a root."""
@@ -18,7 +20,8 @@ def neighbourhood(edges: DataFrame, ids: DataFrame, direction: str = "outgoing",
             parts.append(front.join(edges, F.col("at") == F.col("dst")).select("root", F.lit(hop).alias("hop"), "src", "rel", "dst", F.col("src").alias("next")))
         found = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         out = found.drop("next") if out is None else out.unionByName(found.drop("next"))
-        front = found.select("root", F.col("next").alias("at")).distinct()
+        if hop < depth:
+            front = cut_lineage(found.select("root", F.col("next").alias("at")).distinct())
     return out.groupBy("root", "src", "rel", "dst").agg(F.min("hop").cast("int").alias("hop")).select("root", "hop", "src", "rel", "dst")
 
 
@@ -36,7 +39,10 @@ def grouped_values(edges: DataFrame, nodes: DataFrame, rels: list[str] | None =
 
 
 def ancestors(parents: DataFrame, seeds: DataFrame, rounds: int = 3) -> DataFrame:
-    """(id, ancestor, depth): parents of parents up to `rounds` steps, with the least depth; cycles end by themselves."""
+    """(id, ancestor, depth): parents of parents up to `rounds` steps, with the least depth; cycles end by themselves.
+
+    Each round joins what the round before found, and is checkpointed, so that plans do not grow with the rounds.
+    """
     pairs = parents.select(F.col("id").alias("child"), F.col("parent"))
     front = seeds.select("id", F.col("id").alias("at")).distinct()
     out = None
@@ -44,7 +50,10 @@ def ancestors(parents: DataFrame, seeds: DataFrame, rounds: int = 3) -> DataFram
         step = front.join(pairs, F.col("at") == F.col("child")).select("id", F.col("parent").alias("ancestor"), F.lit(depth).alias("depth")).distinct()
         if out is not None:
             step = step.join(out.select("id", "ancestor"), ["id", "ancestor"], "left_anti")
+        step = cut_lineage(step)
         out = step if out is None else out.unionByName(step)
+        if depth > 1 and step.isEmpty():
+            break
         front = step.select("id", F.col("ancestor").alias("at"))
     return out
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def default_sf_dir(sf: str = "sf0.001") -> str:
     return os.environ.get("QUARRY_DATA", "/root/testdata") + "/" + sf
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows, checkpointed in the shared folder that the cluster names; a temporary one only where none is named."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-"))
+    return df.checkpoint()

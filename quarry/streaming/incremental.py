@@ -17,7 +17,7 @@ def recent_records(stream: DataFrame, key: str, at: str, delay: str = "7 days")
 def changes(stream: DataFrame, key: str, value: str, at: str) -> DataFrame:
     """(key, value, valid_from): a row whenever a key's value differs from the one before; state is one row a key.
 
-    Records of a batch are taken in order of time; one that is older than its key's state is ignored.
+    Records of a batch are taken in order of time; one that is not later than its key's state is ignored.
     """
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -25,7 +25,7 @@ def changes(stream: DataFrame, key: str, value: str, at: str) -> DataFrame:
         out = []
         for row in sorted((r for f in frames for r in f.itertuples(index=False)), key=lambda r: (getattr(r, at), str(getattr(r, value)))):
             v, t = getattr(row, value), getattr(row, at)
-            if when is not None and t < when:
+            if when is not None and t <= when:
                 continue
             if when is None or v != last:
                 out.append((k[0], v, t))
