@@ -47,7 +47,7 @@ def image_identifiers() -> dict[str, Column]:
         "keyword": text.keyword_cell(_col("keywords")),
         "license": F.array_compact(F.array(lic)),
         "shared_by": F.array_compact(F.array(F.when(F.lower(shared) != "none", shared))),
-        "task": text.tasks_of(text.keyword_cell(_col("keywords")), _col("description"), _col("documentation")),
+        "task": text.tasks_of(text.keyword_cell(_col("keywords")), F.coalesce("description", "intendedUse"), _col("documentation")),
     }
 
 
