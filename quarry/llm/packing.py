@@ -220,12 +220,12 @@ def pack(
     end_id: int = 2,
     id_col: str = "doc_id",
     text_col: str = "text",
-    rows_per_group: int = 200_000,
+    rows_per_group: int = 1_000,
 ) -> DataFrame:
     """One row for each piece with its sequence and its offset there.
 
     Pieces of one length may be most of all pieces, so ranks are counted in groups of (length, salt), of about
-    rows_per_group rows, and shifted by the sizes of the groups before. The driver sees the histogram only
+    rows_per_group rows whatever the length's share, and shifted by the sizes of the groups before. The driver sees the histogram only
     (at most `capacity` numbers); the patterns' places (some for each length) are broadcast.
     """
     spark = docs.sparkSession
@@ -238,8 +238,9 @@ def pack(
         _places(complete_bins(counts, capacity)),
         "p_length long, lo long, hi long, first_sequence long, each long, first_offset long",
     )
-    salts = max(1, -(-int(counts.sum()) // rows_per_group))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)))
+    salts = spark.createDataFrame([(n, max(1, -(-int(c) // rows_per_group))) for n, c in enumerate(counts)], "length long, salts long")
+    # one row for each length; the hash takes in all of a piece, so that repeated ids spread as well
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
     before = (
         salted.groupBy("length", "salt")
         .count()
