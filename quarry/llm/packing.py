@@ -127,28 +127,23 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
     return _descend(counts, capacity, choose)
 
 
-def complete_bins(counts: np.ndarray, capacity: int, nodes: int = 6_000) -> list[Pattern]:
-    """Patterns (lengths, how often) that hold every piece of the histogram in as few sequences as the search finds.
+def _search(counts: np.ndarray, capacity: int, best: list[Pattern], enough: int, nodes: int) -> list[Pattern]:
+    """Depth first over the fillings around the longest remaining piece, from an incumbent on.
 
-    Depth first over the fillings around the longest remaining piece; a branch ends when its waste exceeds what a
-    packing with one sequence less than the incumbent could afford. Ends at the lower bound or after `nodes` nodes.
+    A branch ends when its waste exceeds what a packing with one sequence less than the incumbent could afford. The
+    search ends at `enough` sequences or after `nodes` nodes.
     """
-    counts = np.asarray(counts, np.int64)
     total = int((counts * np.arange(len(counts))).sum())
-    if not total:
-        return []
-    bound = lower_bound(counts, capacity)
-    best = best_fit(counts, capacity)
     best_bins = sum(t for _, t in best)
     path: list[Pattern] = []
 
-    def branch(now: np.ndarray, waste: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    def branch(now: np.ndarray) -> Iterator[tuple[tuple[int, ...], int]]:
         longest = int(np.flatnonzero(now)[-1])
         for items in fillings(now, longest, capacity):
             yield (longest, *items), _times(now, longest, items)
 
-    stack = [(counts, 0, branch(counts, 0))]
-    while stack and best_bins > bound and nodes > 0:
+    stack = [(counts, 0, branch(counts))]
+    while stack and best_bins > enough and nodes > 0:
         now, waste, ways = stack[-1]
         pattern, times = next(ways, ((), 0))
         if not times:
@@ -165,13 +160,63 @@ def complete_bins(counts: np.ndarray, capacity: int, nodes: int = 6_000) -> list
             after[x] -= times
         if after.any():
             path.append((pattern, times))
-            stack.append((after, spent, branch(after, spent)))
+            stack.append((after, spent, branch(after)))
         else:
             best = [*path, (pattern, times)]
             best_bins = sum(t for _, t in best)
     return best
 
 
+def _repack(patterns: list[Pattern], capacity: int, enough: int, tries: int, nodes: int) -> list[Pattern]:
+    """Search again within some sequences at a time: the emptiest ones, which waste a sequence together, and random others."""
+    rng = np.random.default_rng(0)
+    held: dict[tuple[int, ...], int] = {}
+    for items, times in patterns:
+        held[items] = held.get(items, 0) + times
+    while tries > 0 and sum(held.values()) > enough:
+        tries -= 1
+        kinds = sorted(held, key=lambda p: (sum(p), p))
+        chosen: dict[tuple[int, ...], int] = {}
+        spare = 0
+        for items in kinds:
+            while spare < capacity and chosen.get(items, 0) < held[items] and sum(items) < capacity:
+                chosen[items] = chosen.get(items, 0) + 1
+                spare += capacity - sum(items)
+        if spare < capacity:
+            break  # less than a sequence is wasted in all
+        shared = [p for p in kinds if len(p) > 1]
+        for i in rng.permutation(len(shared))[: int(rng.integers(4, 28))].tolist():
+            if chosen.get(shared[i], 0) < held[shared[i]]:
+                chosen[shared[i]] = chosen.get(shared[i], 0) + 1
+        counts = np.zeros(capacity + 1, np.int64)
+        for items, times in chosen.items():
+            np.add.at(counts, list(items), times)
+        bins = sum(chosen.values())
+        found = _search(counts, capacity, best_fit(counts, capacity), bins - 1, nodes)
+        if sum(t for _, t in found) < bins:
+            for items, times in chosen.items():
+                held[items] -= times
+                if not held[items]:
+                    del held[items]
+            for items, times in found:
+                held[items] = held.get(items, 0) + times
+    return list(held.items())
+
+
+def complete_bins(counts: np.ndarray, capacity: int, nodes: int = 3_000, tries: int = 60) -> list[Pattern]:
+    """Patterns (lengths, how often) that hold every piece of the histogram in as few sequences as the search finds.
+
+    One search over the whole histogram from the best-fit incumbent, then `tries` searches over some of its sequences
+    at a time; both stop at the lower bound.
+    """
+    counts = np.asarray(counts, np.int64)
+    if not counts[1:].any():
+        return []
+    bound = lower_bound(counts, capacity)
+    found = _search(counts, capacity, best_fit(counts, capacity), bound, nodes)
+    return _repack(found, capacity, bound, tries, nodes // 8) if sum(t for _, t in found) > bound else found
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): only documents longer than a sequence are cut; their first piece is the rest."""
 
