@@ -122,22 +122,23 @@ def _meet(fps: np.ndarray, prefix: int, prefix_bits: int, half: int, part: int,
 def link_fingerprints(nodes: DataFrame, radius: int = 4, variants_per_task: int = 2_000_000) -> DataFrame:
     """(u, v): links between distinct fingerprints (column fp), enough to connect all that lie within the radius.
 
-    variants_per_task sets how many leading bits the shuffle uses, from the count of fingerprints; a prefix with many
-    times that (near copies whose fingerprints share their leading bits) is dealt to several parts.
+    variants_per_task sets how many leading bits the shuffle uses, from the count of fingerprints (20 at most, which
+    5 * 10^8 distinct fingerprints reach); a prefix with many times that (near copies whose fingerprints share their
+    leading bits) is dealt to several parts.
     """
     half = radius // 2
     if half * 2 != radius:
         raise ValueError("the radius must be even, so that its half meets in the middle")
     count = nodes.count()
     each = len(_masks(BITS, half))
-    bits = min(14, max(6, (count * each // variants_per_task).bit_length()))
+    bits = min(20, max(6, (count * each // variants_per_task).bit_length()))
     ball = _masks(bits, half)
     limit = max(1, 3 * variants_per_task * len(ball) // each)
     masks = F.array(*[F.lit(m) for m in ball])
     sent = nodes.select("fp", F.explode(masks).alias("mask")).select(
         "fp", (F.shiftrightunsigned("fp", BITS - bits).bitwiseXOR(F.col("mask"))).cast("long").alias("prefix")
     )
-    # at most 2^14 rows, by construction
+    # at most 2^20 rows of a prefix and a number, by construction; usually none
     crowded = sent.groupBy("prefix").count().filter(F.col("count") > limit).select(
         "prefix", F.ceil(F.col("count") / limit).cast("int").alias("parts")
     )
