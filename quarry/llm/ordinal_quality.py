@@ -178,7 +178,7 @@ def score(docs: DataFrame, model: OrdinalModel, at_least: int = 1, threshold: fl
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 8 << 20):
+        for batch in sliced(batches, "text", 3 << 20):
             tails, _ = sent.value.tails(filled(batch.column("text")))
             tail = tails[:, at_least - 1]
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +195,7 @@ def keep_good(docs: DataFrame, model: OrdinalModel, at_least: int = 1, threshold
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 8 << 20):
+        for batch in sliced(batches, text_col, 3 << 20):
             tails, _ = sent.value.tails(filled(batch.column(text_col)))
             yield batch.filter(pa.array(tails[:, at_least - 1] >= threshold))
 
