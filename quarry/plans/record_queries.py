@@ -103,6 +103,12 @@ def size_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.size_label(name).alias("label"), text.size_token(name).alias("token"))
 
 
+def _order_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    factor = F.when(key % 4 == 0, 1).when(key % 4 == 1, 1000).when(key % 4 == 2, 1_000_000).otherwise(100_000_000).cast("long")
+    return table(spark, sf_dir, "orders").select("o_orderkey", (F.round("o_totalprice").cast("long") * factor).alias("v"))
+
+
 @register(
     "parameter_count_format",
     """
@@ -114,9 +120,7 @@ def size_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def parameter_count_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    factor = F.when(key % 4 == 0, 1).when(key % 4 == 1, 1000).when(key % 4 == 2, 1_000_000).otherwise(100_000_000).cast("long")
-    rows = table(spark, sf_dir, "orders").filter(key % 7 == 0).select("o_orderkey", (F.round("o_totalprice").cast("long") * factor).alias("v"))
+    rows = _order_counts(spark, sf_dir).filter(F.col("o_orderkey") % 7 == 0)
     exact_half = F.lit(False)  # ties are left out: binary and decimal rounding differ there
     for power in (3, 6, 9, 12):
         inside = (F.col("v") >= 10**power) & ((F.col("v") < 10 ** (power + 3)) | (power == 12))
@@ -124,6 +128,21 @@ def parameter_count_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.filter(~exact_half).select("o_orderkey", text.format_count(F.col("v")).alias("label"))
 
 
+@register(
+    "parameter_count_format_all",
+    """
+    WITH c AS (SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) * CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 1000 WHEN 2 THEN 1000000 ELSE 100000000 END AS v FROM orders),
+    f AS (SELECT o_orderkey, v, CASE WHEN v >= 1000000000000 THEN 12 WHEN v >= 1000000000 THEN 9 WHEN v >= 1000000 THEN 6 WHEN v >= 1000 THEN 3 ELSE 0 END AS p FROM c),
+    h AS (SELECT *, CASE WHEN p > 0 THEN (v + 5 * (10::BIGINT ** (p - 3))::BIGINT) // (10::BIGINT ** (p - 2))::BIGINT END AS hundredths FROM f)
+    SELECT o_orderkey, CASE p WHEN 0 THEN v::VARCHAR ELSE rtrim(rtrim((hundredths // 100)::VARCHAR || '.' || lpad((hundredths % 100)::VARCHAR, 2, '0'), '0'), '.')
+      || CASE p WHEN 3 THEN 'K' WHEN 6 THEN 'M' WHEN 9 THEN 'B' ELSE 'T' END END AS label FROM h
+    """,
+)
+def parameter_count_format_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, half-way cases included; the SQL rounds in whole numbers."""
+    return _order_counts(spark, sf_dir).select("o_orderkey", text.format_count(F.col("v")).alias("label"))
+
+
 @register(
     "scaled_numbers",
     """
@@ -132,10 +151,24 @@ def parameter_count_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def scaled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scaled(table(spark, sf_dir, "customer").filter("c_acctbal <> 0"))
+
+
+@register(
+    "scaled_numbers_all",
+    """
+    SELECT c_custkey, CAST(round(abs(round(c_acctbal, 1)) * CASE c_custkey % 4 WHEN 0 THEN 1e3 WHEN 1 THEN 1e6 WHEN 2 THEN 1e9 ELSE 1 END) AS BIGINT) AS n FROM customer
+    """,
+)
+def scaled_numbers_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scaled(table(spark, sf_dir, "customer"))
+
+
+def _scaled(customers: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
     unit = F.when(key % 4 == 0, "K").when(key % 4 == 1, "m").when(key % 4 == 2, "B").otherwise("")
     said = F.concat(F.format_string("%.1f", F.abs(F.round("c_acctbal", 1))), unit)
-    return table(spark, sf_dir, "customer").filter("c_acctbal <> 0").select("c_custkey", text.scaled_number(said).alias("n"))
+    return customers.select("c_custkey", text.scaled_number(said).alias("n"))
 
 
 @register(
@@ -146,10 +179,26 @@ def scaled_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def arxiv_like_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("page_id")
+    return _arxiv(table(spark, sf_dir, "pages").filter(key % 9000 + 1000 != 2000 + key % 90))
+
+
+@register(
+    "arxiv_like_extract_all",
+    """
+    WITH t AS (SELECT page_id, 'see ' || (1000 + page_id % 9000) || '.' || (10000 + page_id) || 'v2 and https://arxiv.org/abs/' || (2000 + page_id % 90) || '.1234 or 12.345' AS body FROM pages)
+    SELECT page_id, array_to_string(list_sort(list_distinct(regexp_extract_all(body, '\\b(\\d{4}\\.\\d{4,5})(v\\d+)?\\b', 1))), ',') AS ids FROM t
+    """,
+)
+def arxiv_like_extract_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _arxiv(table(spark, sf_dir, "pages"))
+
+
+def _arxiv(pages: DataFrame) -> DataFrame:
     key = F.col("page_id")
     body = F.format_string("see %d.%dv2 and https://arxiv.org/abs/%d.1234 or 12.345", 1000 + key % 9000, 10000 + key, 2000 + key % 90)
     ids = F.array_sort(text.arxiv_ids(body))
-    return table(spark, sf_dir, "pages").filter(key % 9000 + 1000 != 2000 + key % 90).select("page_id", F.array_join(ids, ",").alias("ids"))
+    return pages.select("page_id", F.array_join(ids, ",").alias("ids"))
 
 
 @register(
@@ -204,6 +253,19 @@ def translation_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.lookup(table(spark, sf_dir, "customer"), "c_nationkey", nations, "n_nationkey", "n_name", "nation").select("c_custkey", "nation")
 
 
+@register(
+    "translation_join_all",
+    """
+    WITH c AS (SELECT c_custkey, c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS k FROM customer)
+    SELECT c_custkey, coalesce(n_name, k::VARCHAR) AS nation FROM c LEFT JOIN nation ON k = n_nationkey
+    """,
+)
+def translation_join_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nations; every fifth customer has a key that no nation has."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + F.when(F.col("c_custkey") % 5 == 0, 100).otherwise(0)).alias("k"))
+    return records.lookup(customers, "k", table(spark, sf_dir, "nation"), "n_nationkey", "n_name", "nation").select("c_custkey", "nation")
+
+
 @register(
     "translation_array",
     """
@@ -219,6 +281,22 @@ def translation_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.lookup_array(rows, "s_suppkey", "names", nations, "n_nationkey", "n_name").select("s_suppkey", F.array_join("names", ",").alias("names"))
 
 
+@register(
+    "translation_array_all",
+    """
+    WITH m AS (SELECT s_suppkey, [s_nationkey + CASE WHEN s_suppkey % 5 = 0 THEN 100 ELSE 0 END, (s_nationkey + 1) % 25] AS ks FROM supplier),
+    x AS (SELECT s_suppkey, unnest(ks) AS k, generate_subscripts(ks, 1) AS i FROM m)
+    SELECT s_suppkey, string_agg(coalesce(n_name, k::VARCHAR), ',' ORDER BY i) AS names FROM x LEFT JOIN nation ON k = n_nationkey GROUP BY s_suppkey
+    """,
+)
+def translation_array_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nations; every fifth supplier has a key that no nation has."""
+    own = F.col("s_nationkey") + F.when(F.col("s_suppkey") % 5 == 0, 100).otherwise(0)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.array(own, (F.col("s_nationkey") + 1) % 25).alias("names"))
+    named = records.lookup_array(rows, "s_suppkey", "names", table(spark, sf_dir, "nation"), "n_nationkey", "n_name")
+    return named.select("s_suppkey", F.array_join("names", ",").alias("names"))
+
+
 @register(
     "stub_left_join",
     """
@@ -282,6 +360,22 @@ def full_outer_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.join(s, "nation", "full_outer").fillna(0, ["customers", "suppliers"])
 
 
+@register(
+    "full_outer_maps_all",
+    """
+    WITH c AS (SELECT c_nationkey + CASE WHEN c_custkey % 5 = 0 THEN 100 ELSE 0 END AS k, count(*)::BIGINT AS customers FROM customer GROUP BY 1),
+    s AS (SELECT s_nationkey + CASE WHEN s_suppkey % 5 = 0 THEN 200 ELSE 0 END AS k, count(*)::BIGINT AS suppliers FROM supplier GROUP BY 1)
+    SELECT coalesce(c.k, s.k) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM c FULL JOIN s ON c.k = s.k
+    """,
+)
+def full_outer_maps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers and suppliers; every fifth of them has a key that the other side lacks."""
+    far = lambda key, own, by: (F.col(key) + F.when(F.col(own) % 5 == 0, by).otherwise(0)).alias("nation")
+    c = table(spark, sf_dir, "customer").groupBy(far("c_nationkey", "c_custkey", 100)).agg(F.count(F.lit(1)).alias("customers"))
+    s = table(spark, sf_dir, "supplier").groupBy(far("s_nationkey", "s_suppkey", 200)).agg(F.count(F.lit(1)).alias("suppliers"))
+    return c.join(s, "nation", "full_outer").fillna(0, ["customers", "suppliers"])
+
+
 @register(
     "validate_split",
     """
