@@ -88,6 +88,37 @@ def history(store: DataFrame, key: str, inclusive_end: bool = False) -> DataFram
     return store.join(moments, (F.col(key) == F.col("__k")) & (F.col("valid_from") <= F.col("moment")) & end).drop("__k")
 
 
+def _running(rows: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
+    """Running sums of columns over `at` within the keys, by day first, so that no task has a key's whole history."""
+    days = rows.withColumn("__day", F.to_date(at))
+    by_day = days.groupBy(*keys, "__day").agg(*[F.sum(c).alias(f"__{c}") for c in columns])
+    earlier = Window.partitionBy(*keys).orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_day.select(*keys, "__day", *[F.coalesce(F.sum(f"__{c}").over(earlier), F.lit(0)).alias(f"__{c}") for c in columns])
+    within = Window.partitionBy(*keys, "__day").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    summed = days.withColumns({c: F.sum(c).over(within) for c in columns}).join(before, [*keys, "__day"])
+    return summed.withColumns({c: F.col(c) + F.col(f"__{c}") for c in columns}).drop("__day", *[f"__{c}" for c in columns])
+
+
+def history_counts(store: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, moment, held, kinds): how many rows of the key, and how many values, held at each moment of history().
+
+    +1 at each start and -1 at each end, summed by key, value and moment before the running sums; a value counts
+    while its own sum is above zero. Linear in the rows, where history() writes out every row at every moment.
+    """
+    moves = F.array(
+        F.struct(F.col("valid_from").alias("moment"), F.lit(1).alias("step"), F.lit(1).alias("begun")),
+        F.struct(F.col("valid_to").alias("moment"), F.lit(-1).alias("step"), F.lit(0).alias("begun")),
+    )
+    # a null is one group here but no kind, as in count(DISTINCT)
+    moved = store.filter(F.col(key).isNotNull()).select(key, value, F.explode(moves).alias("m")).select(key, value, "m.*").filter(F.col("moment").isNotNull())
+    steps = moved.groupBy(key, value, "moment").agg(F.sum("step").alias("step"), F.sum("begun").alias("begun"))
+    own = steps.withColumns({"__value": F.to_json(F.struct(value)), "held": F.col("step")})
+    own = _running(own, [key, "__value"], "moment", ["held"])
+    kind = F.when(F.col(value).isNull(), 0).otherwise(F.signum(F.col("held")).cast("long") - F.signum(F.col("held") - F.col("step")).cast("long"))
+    by_moment = own.groupBy(key, "moment").agg(F.sum("step").alias("held"), F.sum(kind).alias("kinds"), F.sum("begun").alias("begun"))
+    return _running(by_moment, [key], "moment", ["held", "kinds"]).filter("begun > 0 AND held > 0").select(key, "moment", "held", "kinds")
+
+
 def clamped_as_of(versions: DataFrame, key: str, start: str, end: str, t: Column) -> DataFrame:
     """Rows valid at t, where a t before the first or after the last version counts as the first or the last moment."""
     span = versions.groupBy(key).agg(F.min(start).alias("__lo"), F.max(end).alias("__hi"))
