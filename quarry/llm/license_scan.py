@@ -1,8 +1,8 @@
 """License scans by sentence rules, in DataFrame expressions only.
 
-A text is cut into sentences, each sentence is normalised (lower case, letters and digits, single spaces) and looked
-up among known licence sentences. What is left of a document is a short sequence of sentence identifiers. Licence
-rules are sequences too; a rule holds where its identifiers follow each other in that order among the recognised
+A text is normalised (lower case, letters and digits, single spaces) and cut into pieces at line ends and stops; known
+licence sentences are found from the start of a piece to the end of the same or a later one. What is left of a document
+is a short sequence of sentence identifiers. Licence rules are sequences too; a rule holds where its identifiers follow each other in that order among the recognised
 sentences, with no more than MAX_GAP other sentences between two of them. A rule that is part of a longer rule which
 holds at the same place gives way to it.
 
@@ -84,10 +84,20 @@ MAX_GAP = 2
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def sentences(text: Column) -> Column:
-    """The normalised sentences of a text: cut at line ends and behind . : ; ! ? before a blank."""
-    broken = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"([.:;!?])[ \t\r]+", "$1\n")
-    return F.transform(F.split(broken, "\n"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
+def pieces(text: Column, known: dict[str, str] | None = None) -> Column:
+    """The known sentences and the other pieces of a text in order, normalised, without empty ones.
+
+    A piece ends at a line end or behind . : ; ! ? before a blank. A known sentence begins and ends with a piece but
+    may run over several, so hard-wrapped lines, comment marks and stops within it do not hide it.
+    """
+    known = SENTENCES if known is None else known
+    # a bar stands where a piece ends; all that is no letter or digit is a blank, comment marks included
+    lower = F.translate(F.concat(F.lit("\n"), F.coalesce(text, F.lit(""))), _UPPER + "|", _LOWER + " ")
+    broken = F.regexp_replace(lower, r"[.:;!?][ \t\r]+|\n[^a-z0-9\n]*(?:(?:dnl|rem)[ \t]+)?", "|")
+    words = F.regexp_replace(F.concat(F.regexp_replace(broken, "[^a-z0-9|]+", " "), F.lit("|")), r" ?\|[| ]*", "|")
+    said = "|".join(s.replace(" ", "[ |]") for s in sorted(known.values(), key=lambda s: (-len(s), s)))
+    found = F.regexp_extract_all(words, F.lit(rf"(?<=\|)(?:(?:{said})(?=\|)|[^|]+)"), 0)
+    return F.transform(found, lambda s: F.trim(F.translate(s, "|", " ")))
 
 
 def sentence_hits(text: Column, known: dict[str, str] | None = None) -> Column:
@@ -96,7 +106,7 @@ def sentence_hits(text: Column, known: dict[str, str] | None = None) -> Column:
     texts = F.array(*[F.lit(s) for s in known.values()])
     ids = F.array(*[F.lit(k) for k in known])
     found = F.transform(
-        sentences(text), lambda s, i: F.struct(i.alias("pos"), F.array_position(texts, s).cast("int").alias("at"))
+        pieces(text, known), lambda s, i: F.struct(i.alias("pos"), F.array_position(texts, s).cast("int").alias("at"))
     )
     return F.transform(
         F.filter(found, lambda x: x["at"] > 0), lambda x: F.struct(x["pos"].alias("pos"), F.element_at(ids, x["at"]).alias("id"))
