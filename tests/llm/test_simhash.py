@@ -96,8 +96,47 @@ def test_near_duplicates_whole_query(spark):
             assert (r.fingerprint, r.component_id) == (f"{fps[r.doc_id]:016x}", want[r.doc_id])
         else:
             assert r.component_id is None
-    kept = simhash.keep_one_of_each(docs)
+    kept = simhash.keep_one_of_each(docs, shingle=4, sets=1)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(want.values()))
     empty = docs.limit(0)
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one_of_each(empty).count() == 0
+
+
+def copies_of(spark, rows, names="doc_id long, text string"):
+    docs = spark.createDataFrame(rows, names)
+    kept = simhash.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    return sorted((tuple(r) for r in kept.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+
+
+def test_one_row_of_each_group_whatever_the_ids(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(120)) for _ in range(4))
+    assert copies_of(spark, [(3, a), (7, a), (7, b)]) == [(3, a), (7, b)]
+    assert copies_of(spark, [(None, a), (9, a), (None, c), (None, c), (None, d), (5, b), (5, b)]) == [(5, b), (9, a), *sorted([(None, c), (None, d)], key=lambda r: r[1])]
+    assert copies_of(spark, [(1, a), (1, b), (1, a)]) == sorted([(1, a), (1, b)], key=lambda r: r[1])
+    assert copies_of(spark, [(None, None), (2, ""), (4, " ")]) == [(2, "")]  # no words: all alike
+    assert copies_of(spark, [(2, a, 1, "x"), (1, a, 2, "y")], "doc_id long, text string, __digest int, __Gone_id string") == [(1, a, 2, "y")]
+    docs = spark.createDataFrame([(1, a, {"k": 1}), (2, a, {"k": 2})], "doc_id long, text string, m map<string, int>")
+    assert [r.doc_id for r in simhash.keep_one_of_each(docs).collect()] == [1]
+    joined = simhash.keep_one_of_each(spark.createDataFrame([(3, a), (7, a), (7, b), (7, b)], "doc_id long, text string"), broadcast_rows=0)
+    assert sorted(map(tuple, joined.collect())) == [(3, a), (7, b)]
+
+
+def test_several_fingerprints_find_more_near_copies(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmno") for _ in range(6))
+    rows, changed = [], {}
+    for i in range(120):  # every pair differs in one to eight words of 400: similarity 0.82 to 0.97
+        words = [word() for _ in range(400)]
+        other = list(words)
+        for at in rng.sample(range(400), 1 + i % 8):
+            other[at] = word()
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+        changed[2 * i + 1] = 1 + i % 8
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {sets: {r.doc_id for r in simhash.keep_one_of_each(docs, sets=sets).collect()} for sets in (1, 4)}
+    assert all(2 * i in left[4] for i in range(120)) and left[4] < left[1]
+    close = [i for i, n in changed.items() if n <= 2]
+    assert len([i for i in close if i not in left[4]]) > 0.8 * len(close)
