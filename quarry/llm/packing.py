@@ -1,20 +1,23 @@
 """Best-fit packing of tokenized documents into fixed-length sequences, by bin completion branch-and-bound.
 
 Lengths are whole numbers up to the sequence length, so any corpus is a histogram of at most `capacity` lengths, however
-many documents it has. The search runs on that histogram: around the longest remaining piece it enumerates the fillings
-that no other filling dominates, takes one as often as the counts allow, and goes on; it prunes by the waste that an
-improvement could still afford and keeps the best-fit solution as the first incumbent. The outcome is a short list of
-patterns. Spark ranks the pieces of each length and maps ranks to places in the patterns; no document is gathered.
-
-Defined results: a null text counts as empty and is one piece holding the end id only; a row with a null id and
-repeated rows are packed like any other; equal rows are interchangeable; an empty table gives no sequences; other
-columns are ignored.
+many documents it has. The search runs on that histogram: around the longest remaining piece it enumerates, in order of
+waste, all fillings that no other filling dominates, takes one as often as the counts allow (then less often), and goes
+on; it prunes by the waste that an improvement could still afford and keeps the best-fit solution as the first
+incumbent. It ends at the lower bound, or when its budget of steps is spent; without a budget it is exact. The outcome
+is a short list of patterns. Spark ranks the pieces of each length and maps ranks to places in the patterns; no
+document is gathered.
+
+Defined results: a null text counts as empty and is one piece holding the end id only; a very long text is tokenized
+whole and cut into pieces; a row with a null id and repeated rows are packed like any other; pieces of one length are
+ranked by id, piece, checksum and their number in the task that cut them, and equal ones are interchangeable; an empty
+table gives no sequences; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,39 +57,60 @@ def _largest_fit(counts: np.ndarray, room: int, used: dict[int, int]) -> int:
     return 0
 
 
-def fillings(counts: np.ndarray, longest: int, capacity: int, width: int = 6, tries: int = 48) -> list[tuple[int, ...]]:
-    """Undominated ways to fill the room beside the longest piece, least waste first, at most `width` of them.
+def _sums(items: list[int]) -> list[int]:
+    """The sums of all sub-multisets of two pieces or more."""
+    single, several = {0}, set()
+    for x in items:
+        several |= {s + x for s in several} | {s + x for s in single if s}
+        single.add(x)
+    return sorted(several)
 
-    A filling is dominated if another one holds a longer piece (or pieces) in place of some of its own. So from each
-    first piece on, only largest fits follow, and a first piece is tried only down to the point where what could
-    follow it is no longer smaller than it. `tries` bounds how many first pieces are tried, longest first.
+
+def fillings(counts: np.ndarray, longest: int, capacity: int, most_waste: int, spend: Callable[[], bool]) -> Iterator[tuple[int, ...]]:
+    """All undominated ways to fill the room beside the longest piece, those with less waste first, up to most_waste.
+
+    A filling is dominated if some of its pieces can be swapped for one spare piece that is longer than they are
+    together and still fits, or for one of just their length if they are several: what then remains to be packed is
+    never harder. spend() is asked at every step and ends the enumeration when it says no.
     """
     room = capacity - longest
-    found: dict[tuple[int, ...], int] = {}
-    firsts = np.flatnonzero(counts[1 : room + 1])[::-1] + 1
-    for first in firsts[:tries].tolist():
-        used = {longest: 1}
-        if counts[first] <= used.get(first, 0):
-            continue
-        items, left, top = [first], room - first, first
-        used[first] = used.get(first, 0) + 1
-        while left and (nxt := _largest_fit(counts, min(left, top), used)):
-            items.append(nxt)
-            used[nxt] = used.get(nxt, 0) + 1
-            left -= nxt
-            top = nxt
-        found[tuple(items)] = left
-        if not left and len(found) >= width:
-            break
-    if not found:
-        return [()]
-    kept: list[tuple[int, ...]] = []
-    for items in sorted(found, key=lambda f: (found[f], len(f), [-x for x in f])):
-        if not any(len(k) == len(items) and all(a >= b for a, b in zip(k, items)) and k != items for k in kept):
-            kept.append(items)
-        if len(kept) == width:
-            break
-    return kept
+    free = counts[: room + 1].copy()
+    if longest <= room:
+        free[longest] -= 1
+    spare = free.tolist()  # pieces that are left beside those in `items`
+    sizes = [x for x in range(room, 0, -1) if spare[x]]
+    least = sizes[-1] if sizes else 0
+    items: list[int] = []
+
+    def dominated(waste: int) -> bool:
+        if waste and any(any(spare[x + 1 : x + waste + 1]) for x in {*items, 0}):
+            return True
+        return len(items) > 1 and any(any(spare[s : s + waste + 1]) for s in _sums(items) if s <= room)
+
+    def exactly(total: int, start: int) -> Iterator[None]:
+        """Multisets of that total, longest pieces first, none of whose parts could be one spare piece of their length."""
+        if total == 0:
+            yield
+            return
+        for at in range(start, len(sizes)):
+            x = sizes[at]
+            if x > total or not spare[x]:
+                continue
+            if total - x and total - x < least:
+                continue
+            if not spend():
+                return
+            spare[x] -= 1
+            items.append(x)
+            if len(items) < 2 or not any(spare[s] for s in _sums(items) if s <= room):
+                yield from exactly(total - x, at)
+            items.pop()
+            spare[x] += 1
+
+    for waste in range(min(most_waste, room) + 1):
+        for _ in exactly(room - waste, 0):
+            if not dominated(waste):
+                yield tuple(items)
 
 
 def _descend(counts: np.ndarray, capacity: int, choose) -> list[Pattern]:
@@ -127,23 +151,38 @@ def best_fit(counts: np.ndarray, capacity: int) -> list[Pattern]:
     return _descend(counts, capacity, choose)
 
 
-def _search(counts: np.ndarray, capacity: int, best: list[Pattern], enough: int, nodes: int) -> list[Pattern]:
+class _Budget:
+    """Counts steps down; None has no end."""
+
+    def __init__(self, steps: int | None):
+        self.left = steps
+
+    def spend(self) -> bool:
+        if self.left is None:
+            return True
+        self.left -= 1
+        return self.left > 0
+
+
+def _search(counts: np.ndarray, capacity: int, best: list[Pattern], enough: int, steps: int | None) -> list[Pattern]:
     """Depth first over the fillings around the longest remaining piece, from an incumbent on.
 
     A branch ends when its waste exceeds what a packing with one sequence less than the incumbent could afford. The
-    search ends at `enough` sequences or after `nodes` nodes.
+    search ends at `enough` sequences, or after that many steps.
     """
     total = int((counts * np.arange(len(counts))).sum())
     best_bins = sum(t for _, t in best)
-    path: list[Pattern] = []
+    budget, path = _Budget(steps), []
 
-    def branch(now: np.ndarray) -> Iterator[tuple[tuple[int, ...], int]]:
+    def branch(now: np.ndarray, spent: int) -> Iterator[tuple[tuple[int, ...], int]]:
         longest = int(np.flatnonzero(now)[-1])
-        for items in fillings(now, longest, capacity):
-            yield (longest, *items), _times(now, longest, items)
+        afford = (best_bins - 1) * capacity - total - spent
+        for items in fillings(now, longest, capacity, afford, budget.spend):
+            for times in range(_times(now, longest, items), 0, -1):
+                yield (longest, *items), times
 
-    stack = [(counts, 0, branch(counts))]
-    while stack and best_bins > enough and nodes > 0:
+    stack = [(counts, 0, branch(counts, 0))]
+    while stack and best_bins > enough and budget.spend():
         now, waste, ways = stack[-1]
         pattern, times = next(ways, ((), 0))
         if not times:
@@ -151,7 +190,6 @@ def _search(counts: np.ndarray, capacity: int, best: list[Pattern], enough: int,
             if path:
                 path.pop()
             continue
-        nodes -= 1
         spent = waste + times * (capacity - sum(pattern))
         if spent > (best_bins - 1) * capacity - total:
             continue
@@ -160,14 +198,14 @@ def _search(counts: np.ndarray, capacity: int, best: list[Pattern], enough: int,
             after[x] -= times
         if after.any():
             path.append((pattern, times))
-            stack.append((after, spent, branch(after)))
+            stack.append((after, spent, branch(after, spent)))
         else:
             best = [*path, (pattern, times)]
             best_bins = sum(t for _, t in best)
     return best
 
 
-def _repack(patterns: list[Pattern], capacity: int, enough: int, tries: int, nodes: int) -> list[Pattern]:
+def _repack(patterns: list[Pattern], capacity: int, enough: int, tries: int, steps: int) -> list[Pattern]:
     """Search again within some sequences at a time: the emptiest ones, which waste a sequence together, and random others."""
     rng = np.random.default_rng(0)
     held: dict[tuple[int, ...], int] = {}
@@ -192,7 +230,7 @@ def _repack(patterns: list[Pattern], capacity: int, enough: int, tries: int, nod
         for items, times in chosen.items():
             np.add.at(counts, list(items), times)
         bins = sum(chosen.values())
-        found = _search(counts, capacity, best_fit(counts, capacity), bins - 1, nodes)
+        found = _search(counts, capacity, best_fit(counts, capacity), bins - 1, steps)
         if sum(t for _, t in found) < bins:
             for items, times in chosen.items():
                 held[items] -= times
@@ -203,26 +241,33 @@ def _repack(patterns: list[Pattern], capacity: int, enough: int, tries: int, nod
     return list(held.items())
 
 
-def complete_bins(counts: np.ndarray, capacity: int, nodes: int = 3_000, tries: int = 60) -> list[Pattern]:
+def complete_bins(counts: np.ndarray, capacity: int, steps: int | None = 200_000, tries: int = 60) -> list[Pattern]:
     """Patterns (lengths, how often) that hold every piece of the histogram in as few sequences as the search finds.
 
-    One search over the whole histogram from the best-fit incumbent, then `tries` searches over some of its sequences
-    at a time; both stop at the lower bound.
+    One search over the whole histogram from the best-fit incumbent, of `steps` steps at most, then `tries` searches of
+    steps / 60 over some of its sequences at a time; all stop at the lower bound. With steps=None there is no budget:
+    the search goes through every undominated filling as often as it can be taken, and the result is optimal; that
+    is for small histograms.
     """
     counts = np.asarray(counts, np.int64)
     if not counts[1:].any():
         return []
     bound = lower_bound(counts, capacity)
-    found = _search(counts, capacity, best_fit(counts, capacity), bound, nodes)
-    return _repack(found, capacity, bound, tries, nodes // 8) if sum(t for _, t in found) > bound else found
+    found = _search(counts, capacity, best_fit(counts, capacity), bound, steps)
+    if steps is None or sum(t for _, t in found) <= bound:
+        return found
+    return _repack(found, capacity, bound, tries, steps // 60)
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): only documents longer than a sequence are cut; their first piece is the rest."""
+    """(doc_id, piece, start, length, ids_crc32, number): only documents longer than a sequence are cut; their first piece is the rest.
+
+    number counts the pieces of a task; it tells equal rows apart.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = tokenizer_table(tokenizer_path)
-        for batch in sliced(batches, "text", 6 << 20):
+        table, done = tokenizer_table(tokenizer_path), 0
+        for batch in sliced(batches, "text", 2 << 20):
             ids, bounds = table.tokenize(filled(batch.column("text")), end_id)
             sizes = np.diff(bounds)
             number = -(-sizes // capacity)
@@ -234,12 +279,13 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int, id_
             data, at = memoryview(ids.astype("<u4", copy=False)).cast("B"), 4 * (bounds[owner] + start)
             crc = [zlib.crc32(data[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64())],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
+                [batch.column("doc_id").take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(done + np.arange(len(owner)))],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "number"],
             )
+            done += len(owner)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, number long")
 
 
 def _places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int]]:
@@ -284,15 +330,15 @@ def pack(
         "p_length long, lo long, hi long, first_sequence long, each long, first_offset long",
     )
     salts = spark.createDataFrame([(n, max(1, -(-int(c) // rows_per_group))) for n, c in enumerate(counts)], "length long, salts long")
-    # one row for each length; the hash takes in all of a piece, so that repeated ids spread as well
-    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))).drop("salts")
+    # one row for each length; the hash takes in all of a piece and its number, so that repeated and equal rows spread as well
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "number"), F.col("salts"))).drop("salts")
     before = (
         salted.groupBy("length", "salt")
         .count()
         .withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))
         .select("length", "salt", F.coalesce("before", F.lit(0)).alias("before"))
     )
-    order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
+    order = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32", "number")
     ranked = salted.withColumn("n", F.row_number().over(order) - 1).join(before, ["length", "salt"]).withColumn("rank", F.col("n") + F.col("before"))
     placed = ranked.join(F.broadcast(places), (F.col("length") == F.col("p_length")) & F.col("rank").between(F.col("lo"), F.col("hi")))
     within = F.col("rank") - F.col("lo")

@@ -54,6 +54,22 @@ def test_small_cases_are_optimal():
         assert check_patterns(lengths, capacity) == fewest(lengths, capacity)
 
 
+def test_without_a_budget_the_search_is_exact():
+    rng = random.Random(14)
+    for _ in range(40):
+        capacity = rng.randint(10, 40)
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(1, 10))]
+        found = packing.complete_bins(np.bincount(lengths, minlength=capacity + 1), capacity, steps=None)
+        assert sum(t for _, t in found) == fewest(sorted(lengths, reverse=True), capacity)
+
+
+def test_fillings_are_the_undominated_ones():
+    counts = np.bincount([600, 560, 212, 157, 157, 150, 106, 106], minlength=1025)
+    assert check_patterns([600, 560, 212, 157, 157, 150, 106, 106], 1024) == 2
+    found = set(packing.fillings(counts, 600, 1024, 424, lambda: True))
+    assert found == {(212, 106, 106), (157, 157, 106), (212, 157)}
+
+
 def test_search_improves_on_best_fit():
     # best fit takes 6+4 first and is left with pieces that no longer pair up
     rng = np.random.default_rng(1)
@@ -101,4 +117,6 @@ def test_whole_query(spark):
         assert end <= 1024
     lengths = [r.length for r in got]
     assert len(sequences) == check_patterns(lengths, 1024)
+    same = packing.pack(spark.createDataFrame([(None, "")] * 5000, "doc_id long, text string"), PATH, rows_per_group=50).collect()
+    assert {(r.sequence_id, r.offset) for r in same} == {(n // 1024, n % 1024) for n in range(5000)}
     assert packing.pack(docs.limit(0), PATH).count() == 0
