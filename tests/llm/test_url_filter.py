@@ -1,5 +1,6 @@
 """URL rules against a plain re-implementation; trees on labelled urls; edge cases."""
 
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -71,3 +72,36 @@ def test_without_labels_and_empty(spark):
     assert [r.verdict for r in uf.judge(pages, []).collect()] == ["allow"]
     assert [r.verdict for r in uf.judge(pages, [("com/", "block")]).collect()] == ["block"]
     assert uf.judge(pages.limit(0), URL_RULES).count() == 0
+
+
+def test_lexical_features_equal_brute_force(spark):
+    from collections import Counter
+
+    rows = [(i, u) for i, u in enumerate([*URLS, "http://x.com/" + "a1-/" * 3000 + "?p=1&q=2&&r#s", "http://a.b.c.d:80?x"])]
+    parsed = uf.parsed(spark.createDataFrame(rows, "page_id long, url string"), URL_RULES, "page_id", "url", None)
+    for r in parsed.collect():
+        url = rows[r.page_id][1] or ""
+        host, path, _, verdict = brute(url)
+        n = max(len(url), 1)
+        query = url.split("?", 1)[1].split("#", 1)[0] if "?" in url else ""
+        want = {
+            "url_length": len(url), "path_length": len(path), "path_depth": path.count("/"), "host_labels": len(host.split(".")) if host else 0,
+            "digit_share": sum(c in "0123456789" for c in url) / n, "hyphens": url.count("-"),
+            "entropy": -sum(k / n * math.log2(k / n) for k in Counter(url).values()), "n_params": len(query.split("&")) if query else 0, "has_fragment": int("#" in url),
+        }
+        for name, value in want.items():
+            assert math.isclose(r[name], value, rel_tol=1e-9, abs_tol=1e-9), (url[:50], name)
+        assert (r.label, r.last_label) == (None if verdict is None else float(verdict == "block"), host.split(".")[-1])
+        assert r.last_two == ".".join(host.split(".")[-2:])
+
+
+def test_suffix_statistics_are_out_of_fold(spark):
+    urls = [f"http://{h}.example.net/{k}" for h in "abcdefgh" for k in range(3)] + ["http://z.example.net/free", "http://other.org/x"]
+    label = F.when(F.col("page_id") < 24, (F.col("page_id") % 2).cast("int"))
+    rows = uf.parsed(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), [], "page_id", "url", label)
+    got = uf.with_suffix_statistics(rows, uf.suffix_counts(rows), 0.5).collect()
+    known = [r for r in got if r.label is not None]
+    for r in got:
+        others = [k for k in known if k.last_two == r.last_two and (r.label is None or k.fold != r.fold)]
+        assert math.isclose(r.last_two_n, math.log1p(len(others)), abs_tol=1e-9)
+        assert math.isclose(r.last_two_share, (sum(k.label for k in others) + 5) / (len(others) + 10), rel_tol=1e-9)
