@@ -9,8 +9,14 @@ packing and unpacking are a few numpy operations for whole blocks. A shard holds
     tail     where the footer starts, counts of blocks and documents (64-bit), magic
 
 Any document is read by two offsets and the blocks between them. Shards are written by the tasks of a range shuffle
-on the document id, so shard order is id order. A retried task writes under a new name; the manifest, written last,
-names only files of tasks that ended.
+on the document id (and a hash of the text, so that one id with very many rows spreads over tasks), so shard order is id
+order. The number of tasks follows the bytes of the texts, and a task starts a new shard when one has `shard_ids` ids.
+A retried task writes under new names; the manifest, written last, names only files of tasks that ended.
+
+Defined results: a null text counts as empty and is the end id alone; a very long text is tokenized whole and may be
+longer than shard_ids; null ids come before all others; rows that repeat an id are in order of a hash of their text,
+then of the text; equal rows are interchangeable, and each comes out; an empty table writes no shard and gives no rows;
+other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -145,35 +151,50 @@ class ShardReader:
 
 
 def write_shards(
-    docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: int, folder: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    tokenizer_path: str,
+    vocabulary: int,
+    end_id: int,
+    folder: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    task_bytes: int = 16 << 20,
+    shard_ids: int = 16 << 20,
 ) -> DataFrame:
     """Tokenize and write all documents in ascending id order; the manifest (shard, path, n_docs, n_ids, start).
 
-    A null text counts as empty; null ids come first; rows that repeat an id are in order of their text. One shuffle,
-    of the texts by id range. The manifest is materialized: it is the commit of the shards that it names.
+    One shuffle, of the texts by id range. The manifest is materialized: it is the commit of the shards that it names.
     """
     width = bit_width(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, writer, n = tokenizer_table(tokenizer_path), None, 0
-        shard = TaskContext.get().partitionId()
-        path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.ids"
-        for batch in sliced(batches, "text", 6 << 20):
-            writer = writer or ShardWriter(path, width)
+        table, writer, shard, n = tokenizer_table(tokenizer_path), None, TaskContext.get().partitionId() << 20, 0
+
+        def closed() -> pa.RecordBatch:
+            writer.close()
+            row = {"shard": pa.array([shard], pa.int64()), "path": [path], "n_docs": pa.array([n], pa.int64()), "n_ids": pa.array([writer.total], pa.int64())}
+            return pa.RecordBatch.from_pydict(row)
+
+        for batch in sliced(batches, "text", 2 << 20):
+            if writer is None:
+                path = f"{folder}/shard-{shard:013d}-{uuid.uuid4().hex}.ids"
+                writer, n = ShardWriter(path, width), 0
             ids, bounds = table.tokenize(filled(batch.column("text")), end_id)
             if len(ids) and int(ids.max()) >> width:
                 raise ValueError(f"an id does not fit {width} bits")
             writer.add(batch.column("doc_id"), ids, bounds)
             n += batch.num_rows
+            if writer.total >= shard_ids:
+                yield closed()
+                writer, shard = None, shard + 1
         if writer:
-            writer.close()
-            yield pa.RecordBatch.from_pydict(
-                {"shard": pa.array([shard], pa.int32()), "path": [path], "n_docs": pa.array([n], pa.int64()), "n_ids": pa.array([writer.total], pa.int64())}
-            )
+            yield closed()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    written = materialize(dealt.mapInArrow(run, "shard int, path string, n_docs long, n_ids long"), "token-manifest")
+    size = rows.agg(F.sum(F.octet_length("text") + F.lit(8).cast("long"))).first()[0] or 0
+    dealt = rows.withColumn("h", F.xxhash64("text")).repartitionByRange(max(1, -(-size // task_bytes)), "doc_id", "h")
+    ordered = dealt.sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
+    written = materialize(ordered.mapInArrow(run, "shard long, path string, n_docs long, n_ids long"), "token-manifest")
     # one row for each shard; the sum over them fixes where a shard starts
     before = F.sum("n_ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     return written.withColumn("start", F.coalesce(before, F.lit(0)))
@@ -204,7 +225,8 @@ def read_shards(manifest: DataFrame, ids_at_once: int = 1 << 20) -> DataFrame:
                     first = last
                 shard.close()
 
-    spread = manifest.select("path", "start").repartition(F.col("path"))
+    # a task for each shard: a stated number is not joined again by adaptive execution, however small the manifest is
+    spread = manifest.select("shard", "path", "start").repartitionByRange(max(1, manifest.count()), "shard")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

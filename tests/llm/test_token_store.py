@@ -42,7 +42,7 @@ def test_random_access(tmp_path):
         ts.ShardReader(f"file://{tmp_path}/a/y.ids")
 
 
-def test_whole_query(spark):
+def test_whole_query(spark, tmp_path):
     texts = {5: "Hello, World!", 1: "", 9: None, 3: "naïve  café\n\n\tx", 12: "word " * 30_000, 7: "Hello, World!", -4: "<|endoftext|> 's"}
     rows = [(i, t, 0) for i, t in texts.items()] + [(7, "a second text", 0), (None, "no id", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
@@ -50,9 +50,15 @@ def test_whole_query(spark):
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
     start, want = 0, []
-    for i, t, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+    hashes = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").collect()}
+    for i, t, _ in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashes[r[1]])):  # repeated ids by hash of the text
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
         want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert [tuple(r) for r in got] == want
+    folder = f"file://{tmp_path}/shards"
+    manifest = ts.write_shards(docs, PATH, 49_408, 2, folder, task_bytes=40_000, shard_ids=1000)
+    shards = sorted(manifest.collect(), key=lambda r: r.shard)
+    assert len(shards) > 2 and [r.start for r in shards] == [0, *np.cumsum([r.n_ids for r in shards])[:-1]]
+    assert sorted(map(tuple, ts.read_shards(manifest).collect()), key=lambda r: r[1]) == want
     assert ts.store(docs.limit(0), PATH, 49_408).count() == 0
