@@ -1,16 +1,19 @@
 """License scans by sentence rules, in DataFrame expressions only.
 
 A text is normalised (lower case, letters and digits, single spaces) and cut into pieces at line ends and stops; known
-licence sentences are found from the start of a piece to the end of the same or a later one. What is left of a document
-is a short sequence of sentence identifiers. Licence rules are sequences too; a rule holds where its identifiers follow each other in that order among the recognised
-sentences, with no more than MAX_GAP other sentences between two of them. A rule that is part of a longer rule which
-holds at the same place gives way to it.
+licence sentences are found from the start of a piece to the end of the same or a later one, so hard-wrapped lines,
+comment marks and stops within a sentence do not hide it. What is left of a document is a short sequence of sentence
+identifiers. Licence rules are sequences too; a rule holds where its identifiers follow each other in that order among
+the recognised sentences, with no more than MAX_GAP other pieces between two of them. A rule that is part of a longer
+rule which holds at the same place gives way to it. Both lists are parameters of scan(); SENTENCES and RULES are a base
+of common licences.
 
 All of it is row-local: no shuffle, no join, no Python. Cost is linear in the text.
 
-Defined results: a null or empty text has no sentences; a row with a null id and repeated rows are scanned like any
-other, one result for each row; extra columns are ignored; documents without a licence sentence come out with empty
-strings and zeros.
+Defined results: a null or empty text has no sentences; a very long text is scanned whole; a row with a null id and
+repeated rows are scanned like any other, one result for each row; of sentences that begin at one place the longest
+counts; rules of one length are tried in the order of their names; an empty table gives no rows; other columns, whatever
+their names, are ignored; documents without a licence sentence come out with empty strings and zeros.
 """
 
 from __future__ import annotations
@@ -161,7 +164,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules=
 
 
 def scan_sql(rules=RULES, known: dict[str, str] | None = None, max_gap: int = MAX_GAP) -> str:
-    """DuckDB SQL for scan() over `documents`: sentences as rows, chains by window, then the same ordered rules."""
+    """DuckDB SQL for scan() over `documents`: sentences as rows, chains by window, then the same ordered rules.
+
+    Wrapped sentences are found as in pieces(); as its expressions have no look-around, a piece takes its bar with it.
+    """
     known = SENTENCES if known is None else known
     ordered = sorted(rules, key=lambda r: (-len(r[2]), r[0]))
     values = ", ".join(f"('{k}', '{s}')" for k, s in known.items())
@@ -173,15 +179,17 @@ def scan_sql(rules=RULES, known: dict[str, str] | None = None, max_gap: int = MA
             left = f"replace({left}, '{pattern}', '|')"
     names = ", ".join(f'"{n}"' for n, _, _ in ordered)
     licences = ", ".join(f"CASE WHEN \"{n}\" IS NOT NULL THEN '{lic}' END" for n, lic, _ in ordered)
+    said = "|".join(s.replace(" ", "[ |]") for s in sorted(known.values(), key=lambda s: (-len(s), s)))
     return f"""
     WITH known(id, s) AS (VALUES {values}),
-    cut AS (
-      SELECT doc_id, string_split(regexp_replace(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '([.:;!?])[ \\t\\r]+', '\\1\n', 'g'), '\n') AS parts
-      FROM documents),
+    lower_case AS (SELECT doc_id, translate('\n' || coalesce(text, ''), '{_UPPER}|', '{_LOWER} ') AS t FROM documents),
+    broken AS (SELECT doc_id, regexp_replace(t, '[.:;!?][ \\t\\r]+|\\n[^a-z0-9\\n]*(?:(?:dnl|rem)[ \\t]+)?', '|', 'g') AS t FROM lower_case),
+    words AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[^a-z0-9|]+', ' ', 'g') || '|', ' ?\\|[| ]*', '|', 'g') AS t FROM broken),
+    cut AS (SELECT doc_id, regexp_extract_all(substr(t, 2), '(?:{said}|[^|]+)\\|') AS parts FROM words),
     each AS (SELECT doc_id, unnest(parts) AS s, generate_subscripts(parts, 1) AS pos FROM cut),
     hit AS (
       SELECT doc_id, pos, id, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS gap
-      FROM (SELECT doc_id, pos, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) AS s FROM each) JOIN known USING (s)),
+      FROM (SELECT doc_id, pos, trim(replace(s, '|', ' ')) AS s FROM each) JOIN known USING (s)),
     doc AS (
       SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids,
              string_agg(CASE WHEN gap > {max_gap} THEN '|<' ELSE '<' END || id || '>', '' ORDER BY pos) AS said

@@ -2,6 +2,8 @@
 
 import textwrap
 
+import duckdb
+import pandas as pd
 import pytest
 
 from quarry.llm import license_scan as ls
@@ -99,3 +101,15 @@ def test_every_rule_fires_on_its_wrapped_sentences(spark):
 
 def test_a_sentence_needs_both_its_ends(spark):
     assert rules_of(spark, ["It was released under the MIT License.", "Released under the MIT License of old.", "Hello |\nReleased under the MIT license | x"]) == [""] * 3
+
+
+def test_sql_twin_finds_wrapped_sentences_too(spark):
+    texts = [*TEXTS.values(), *(t.replace("\n", "\r\n") for t in TEXTS.values()), *(" ".join(t.split()) for t in TEXTS.values())]
+    texts += ["\n\n".join("\n".join("dnl " + x for x in textwrap.wrap(ls.SENTENCES[i] + ".", 40)) for i in ids) for _, _, ids in ls.RULES]
+    texts += ["", None, "|a|b. | c", "It was released under the MIT License.", "Hello |\nReleased under the MIT license | x", "É. Released under the mit license!  ü"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = con.execute(ls.scan_sql()).fetchall()
+    assert sorted(map(tuple, ls.scan(docs).collect())) == sorted(want)
+    assert sum(r[3] != "" for r in want) >= 2 * len(TEXTS)
