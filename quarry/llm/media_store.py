@@ -11,8 +11,10 @@ header. Features need the samples, so they read the whole member, in the order o
 
 A retried task writes a shard under a new name; only addresses of tasks that ended are in the catalogue.
 
-Defined results: a null text counts as empty; an empty text is one row of 576 bytes 255; rows with a null id and
-repeated rows come out as they came in; an empty table writes nothing; other columns are ignored.
+Defined results: a null text counts as empty; an empty text is one row of 576 bytes 255; a very long text is one image,
+stored and read whole; equal texts are one member with one address, the least of those that tasks wrote; rows with a
+null id and repeated rows come out as they came in; an empty table writes nothing and gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -122,7 +124,7 @@ def store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard: _Shard | None = None
         seen: dict[bytes, tuple[str, int, int]] = {}
-        for batch in sliced(batches, "text", 8 << 20):
+        for batch in sliced(batches, "text", 2 << 20):
             found = []
             for text in byte_texts(batch.column("text")):
                 image = to_png(padded(text))
@@ -167,8 +169,11 @@ def _reader():
     return read
 
 
-def with_headers(addresses: DataFrame) -> DataFrame:
-    """(digest, path, offset, length, width, height, bit_depth, colour_type), reading 33 bytes of each member."""
+def with_headers(addresses: DataFrame, tasks: int = 1) -> DataFrame:
+    """(digest, path, offset, length, width, height, bit_depth, colour_type), reading 33 bytes of each member.
+
+    Addresses are small and members are not, so the caller states the number of tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _reader()
@@ -178,7 +183,8 @@ def with_headers(addresses: DataFrame) -> DataFrame:
                 columns = [pa.array(c, pa.int32()) for c in zip(*heads)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "width", "height", "bit_depth", "colour_type"])
 
-    ordered = addresses.select("digest", "path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    dealt = addresses.select("digest", "path", "offset", "length").repartitionByRange(tasks, "path", "offset")
+    ordered = dealt.sortWithinPartitions("path", "offset")
     return ordered.mapInArrow(run, "digest string, path string, offset long, length long, width int, height int, bit_depth int, colour_type int")
 
 
@@ -205,10 +211,11 @@ def with_features(described: DataFrame) -> DataFrame:
     return described.mapInArrow(run, kinds + ", payload_sha256 string, tail_crc32 long, media_sha256 string, feature string")
 
 
-def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_bytes: int = 8 << 20) -> DataFrame:
     """One row for each document: its address in the shards, metadata from headers, and features of the stored samples."""
     stored = store(docs, new_path(docs.sparkSession, "media-shards"), id_col, text_col)
-    members = materialize(with_features(with_headers(catalogue(stored))), "media-members")
+    written = stored.agg(F.sum("length")).first()[0] or 0
+    members = materialize(with_features(with_headers(catalogue(stored), max(1, -(-written // task_bytes)))), "media-members")
     return stored.select("doc_id", "n_bytes", "digest").join(members, "digest").select(
         "doc_id", "n_bytes",
         (F.col("width").cast("long") * F.col("height")).alias("payload_bytes"),
