@@ -13,12 +13,18 @@ So no n-gram is sent once for each time it stands in the text, a frequent one co
 are even because they are ranges of hashes. Blocks then join their answers, once for the weights and once for the
 scores. The orders go one after the other, so that their shuffles do not share the disk.
 
+A block asks only the buckets that it has n-grams for. A bucket gets about tokens_per_bucket n-grams however large the
+corpus is, and a frequent one once for each block. Cells (a block's n-grams in a bucket) get smaller as the corpus
+grows, about block_bytes * tokens_per_bucket / corpus: at 30 GB a hundred n-grams. For much larger corpora raise both
+parameters with the executors' memory, so that cells stay above some tens of n-grams.
+
 Two n-grams with the same 64-bit hash would share their counts; for 10^9 distinct n-grams the chance of any such
 pair is about 3 in 100.
 
 Defined results: a null text counts as empty and is one token, the end; a null id counts as the text "" in the fold
-rule; repeated rows are scored, and counted, as often as they stand there; with no training document the scores
-come from the floor alone; an empty table gives no rows; other columns are ignored.
+rule; a very long text is scored whole, in a block of its own; repeated rows are scored, and counted, as often as they
+stand there; with no training document the scores come from the floor alone; an empty table gives no rows; there are no
+ties to break; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -159,14 +165,14 @@ def _count(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                 fold = block.fold_of_token
                 deleted = np.bincount(where[fold == DELETED], minlength=len(grams))
                 kept = np.bincount(where[(fold != DELETED) & (fold != HELD_OUT)], minlength=len(grams))
-                ends = np.searchsorted(_bucket(grams, buckets), np.arange(buckets + 1))
-                own = [i for i in range(buckets) if ends[i] < ends[i + 1]]
+                own, first = np.unique(_bucket(grams, buckets), return_index=True)  # the buckets that this block has n-grams for
+                cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(grams)]))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "bucket": pa.array(own, pa.int32()),
                         "block": pa.array([row["block"]] * len(own), pa.int64()),
-                        "grams": pa.array([grams[ends[i] : ends[i + 1]].astype("<u8").tobytes() for i in own], pa.binary()),
-                        "counts": pa.array([_packed(kept[ends[i] : ends[i + 1]], deleted[ends[i] : ends[i + 1]]) for i in own], pa.binary()),
+                        "grams": pa.array([grams[a:b].astype("<u8").tobytes() for a, b in cuts], pa.binary()),
+                        "counts": pa.array([_packed(kept[a:b], deleted[a:b]) for a, b in cuts], pa.binary()),
                     }
                 )
 
