@@ -4,16 +4,20 @@ Grades are ordered, 0 to K - 1. One weight vector is shared by all grades and K
 P(grade >= k) = sigmoid(score - threshold k). That gives an expected grade and the tail probability by which
 documents are selected. Features are hashed into 2^18 slots: words, pairs of words, word endings, word shapes
 ("Aa!", "0", "|"), pairs of shapes, and repeats of the word before; a text's score is their weights' sum over the
-square root of its words.
+square root of its words. Whole words and whole texts count.
 
-Training takes a bounded sample: the labelled rows with the least hashes of their ids, `train_rows` at most
-(8,000 by default). They are joined by id with a broadcast of that many ids, turned into features where they lie, and
-fitted in one task; everything else runs over all rows. Scoring is one pass without a shuffle.
+Training takes a bounded sample: the labelled rows with the least hashes of their ids, `train_rows` at most (8,000 by
+default), and of their texts, in the order of the hashes, as many as have `train_words` words together (4,000,000 by
+default). They are joined by id with a broadcast of that many ids, turned into features where they lie, and fitted in
+one task; everything else runs over all rows. Scoring is one pass without a shuffle.
 
 Defined results: a text without words (or a null) has grade 0 and tail probability 0, so it is rejected; without
 labelled rows all weights are zero and the tails are evenly spaced, so texts with words stay; a label with a null
-grade or id is ignored; of several labels for an id each counts; rows with a null id and repeated rows are scored like
-any other; other columns are ignored by score() and passed through by keep_good().
+grade or id is ignored; a grade that an id has in several labels counts once, different grades of an id each count;
+of several documents with a labelled id the one with the least hash of its features is learned from; a tail
+probability equal to the threshold is kept; very long texts are scored whole, in one piece; a text of more than
+train_words words is not learned from; rows with a null id and repeated rows are scored like any other; an empty table
+gives no rows; other columns, whatever their names, are ignored by score() and passed through by keep_good().
 """
 
 from __future__ import annotations
@@ -25,10 +29,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.llm._tables import drop_path, materialize_at
 from quarry.llm._text import coded, filled, sliced, split_words
+from quarry.llm.chunks import release_tables
 
 SLOT_BITS = 18
 _SLOTS = 1 << SLOT_BITS
@@ -37,7 +43,7 @@ _RUNS = re.compile(r"(.)\1+")
 
 def shape(word: str) -> str:
     """The word with letters as A or a, digits as 0, and runs shortened: "Hello!!" is "Aa!!"."""
-    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:64])
+    kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
     return _RUNS.sub(lambda m: m[1] if m[1] in "Aa0" else m[1] * 2, kinds)
 
 
@@ -101,7 +107,10 @@ def blank_model(grades: int) -> OrdinalModel:
 
 
 def fit(slots: list[np.ndarray], grades: np.ndarray, n_grades: int, epochs: int = 8, least_steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> OrdinalModel:
-    """Minibatch Adam on the negative log likelihood of the grades; few rows are gone through more often, up to least_steps."""
+    """Minibatch Adam on the negative log likelihood of the grades, at least `epochs` times over the rows.
+
+    Few rows are gone through more often, until least_steps steps of 32 rows are done.
+    """
     rng = np.random.default_rng(0)
     n = len(slots)
     if not n:
@@ -147,29 +156,55 @@ def fit(slots: list[np.ndarray], grades: np.ndarray, n_grades: int, epochs: int
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, grade: Column, n_grades: int, train_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    grade: Column,
+    n_grades: int,
+    train_rows: int = 8_000,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    train_words: int = 4_000_000,
 ) -> OrdinalModel:
-    """Fit on at most train_rows labelled rows; grade is an expression over the labels, from 0 to n_grades - 1."""
+    """Fit on a bounded sample of the labelled rows; grade is an expression over the labels, from 0 to n_grades - 1."""
     graded = labels.select(F.col("doc_id").cast("long").alias("l_id"), grade.cast("int").alias("grade"))
-    usable = graded.filter(F.col("l_id").isNotNull() & F.col("grade").between(0, n_grades - 1))
+    usable = graded.filter(F.col("l_id").isNotNull() & F.col("grade").between(0, n_grades - 1)).distinct()
     sample = usable.orderBy(F.xxhash64("l_id"), "l_id", "grade").limit(train_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     joined = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("l_id")).select("doc_id", "grade", "text")
 
     def to_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 4 << 20):
+        release_tables()
+        for batch in sliced(batches, "text", 2 << 20):
             slots, n_words = features(filled(batch.column("text")))
             ends = 6 * np.cumsum(n_words)
             packed = [slots[b - 6 * n : b].astype("<i4").tobytes() for b, n in zip(ends.tolist(), n_words.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(packed, pa.binary())], ["doc_id", "grade", "slots"])
+            digests = np.array([xxhash.xxh3_64_intdigest(p) for p in packed], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("grade"), pa.array(n_words.astype(np.int64)), pa.array(digests), pa.array(packed, pa.binary())],
+                ["doc_id", "grade", "n_words", "digest", "slots"],
+            )
+
+    made, path = materialize_at(joined.mapInArrow(to_features, "doc_id long, grade int, n_words long, digest long, slots binary"), "ordinal-features")
+    # rows that repeat an id are merged before the shuffle; what is left is a row for each (id, grade) of the sample
+    one = made.groupBy("doc_id", "grade").agg(F.min(F.struct("digest", "n_words")).alias("m")).select("doc_id", "grade", "m.digest", "m.n_words")
+    in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").rowsBetween(Window.unboundedPreceding, 0)  # train_rows rows at most
+    taken = one.withColumn("words", F.sum("n_words").over(in_order)).filter((F.col("words") <= train_words) | (F.col("n_words") == 0))
+    learned = made.join(F.broadcast(taken.select("doc_id", "grade", "digest")), ["doc_id", "grade", "digest"], "left_semi")
 
     def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["doc_id"], r["grade"], r["slots"]))
-        model = fit([np.frombuffer(r["slots"], "<i4") for r in rows], np.array([r["grade"] for r in rows], np.int64), n_grades)
+        release_tables()
+        rows = {}
+        for batch in batches:
+            for i, g, packed in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "slots"))):
+                rows[i, g] = packed  # equal features, if an id has them twice
+        ordered = sorted(rows)
+        model = fit([np.frombuffer(rows[k], "<i4") for k in ordered], np.array([g for _, g in ordered], np.int64), n_grades)
         yield pa.RecordBatch.from_pydict({"weights": [model.weights.astype("<f4").tobytes()], "thresholds": [model.thresholds.astype("<f8").tobytes()]})
 
-    # one task, for train_rows rows at most
-    row = joined.mapInArrow(to_features, "doc_id long, grade int, slots binary").repartition(1).mapInArrow(fit_all, "weights binary, thresholds binary").first()
+    # one task, for train_rows rows of train_words words at most
+    once = learned.select("doc_id", "grade", "slots").dropDuplicates(["doc_id", "grade"])
+    row = once.repartition(1).mapInArrow(fit_all, "weights binary, thresholds binary").first()
+    drop_path(docs.sparkSession, path)
     return OrdinalModel(np.frombuffer(row["weights"], "<f4"), np.frombuffer(row["thresholds"], "<f8")) if row else blank_model(n_grades)
 
 
@@ -178,7 +213,8 @@ def score(docs: DataFrame, model: OrdinalModel, at_least: int = 1, threshold: fl
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 3 << 20):
+        release_tables()
+        for batch in sliced(batches, "text", 2 << 20):
             tails, _ = sent.value.tails(filled(batch.column("text")))
             tail = tails[:, at_least - 1]
             yield pa.RecordBatch.from_arrays(
@@ -195,7 +231,8 @@ def keep_good(docs: DataFrame, model: OrdinalModel, at_least: int = 1, threshold
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 3 << 20):
+        release_tables()
+        for batch in sliced(batches, text_col, 2 << 20):
             tails, _ = sent.value.tails(filled(batch.column(text_col)))
             yield batch.filter(pa.array(tails[:, at_least - 1] >= threshold))
 

@@ -50,3 +50,59 @@ def test_edge_cases(spark):
     assert {(r.doc_id, r.kept) for r in oq.score(docs, none).collect()} >= {(1, True), (2, False), (4, True)}
     assert oq.score(docs.limit(0), model).count() == 0
     assert oq.features(pa.array(["", ""], pa.large_string()))[1].tolist() == [0, 0]
+
+
+def brute_slots(text):
+    """Feature slots by name, one word at a time, in plain Python integers."""
+    import re
+
+    import xxhash
+
+    hash64 = lambda kind, value: xxhash.xxh3_64_intdigest(kind + value.encode())
+    wrap = (1 << 64) - 1
+
+    def shape(word):
+        kinds = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word)
+        out = ""
+        for c in kinds:
+            if not (out.endswith(c) and (c in "Aa0" or out.endswith(c * 2))):
+                out += c
+        return out
+
+    def pair(a, b, salt):
+        mixed = (a * 0x9E3779B97F4A7C15 & wrap) ^ (b + salt & wrap)
+        return (mixed * 0xD6E8FEB86659FD93 & wrap) >> 46
+
+    out, before = [], None
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text or ""):
+        w, s = hash64(b"w", word), hash64(b"s", shape(word))
+        w0, s0 = (hash64(b"w", before), hash64(b"s", shape(before))) if before is not None else (1, 1)
+        out += [w >> 46, s >> 46, hash64(b"e", word[-3:].lower()) >> 46, pair(w0, w, 3), pair(s0, s, 5), int(before == word)]
+        before = word
+    return out
+
+
+def test_scores_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    texts = ["", None, " \n", "one", "Hello!! Hello!! 12,345. naïve Çéa", "x" * 70_000 + "A1", "the cat the cat " * 3000, "a\x1cb\x85c d"]
+    model = oq.OrdinalModel(rng.normal(0, 1, 1 << 18).astype(np.float32), np.array([-0.5, 0.75]))
+    got = {r.doc_id: r for r in oq.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+    for i, text in enumerate(texts):
+        slots = brute_slots(text)
+        assert oq.features(pa.array([text or ""], pa.large_string()))[0].tolist() == slots
+        score = sum(float(model.weights[s]) for s in slots) / max(len(slots) / 6, 1) ** 0.5
+        tails = [1 / (1 + np.exp(-(score - t))) if slots else 0.0 for t in model.thresholds]
+        assert abs(got[i].tail_probability - tails[0]) < 1e-6 and abs(got[i].expected_grade - sum(tails)) < 1e-6
+        assert got[i].kept == (tails[0] >= 0.5)
+
+
+def test_training_rows_are_bounded(spark):
+    rows = [(i, f"word{i} " * 50) for i in range(40)] + [(7, f"copy{k} " * 50) for k in range(200)] + [(8, "again " * 50)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 1)], "doc_id long, grade int")
+    whole = oq.train(docs, labels, F.col("grade"), 2)
+    once = oq.train(docs.dropDuplicates(["doc_id", "text"]), labels, F.col("grade"), 2)
+    assert (whole.weights == once.weights).all() and (whole.thresholds == once.thresholds).all()
+    few = oq.train(docs, labels, F.col("grade"), 2, train_words=500)
+    assert 0 < np.count_nonzero(few.weights) < np.count_nonzero(whole.weights) / 3
+    assert not oq.train(docs, labels, F.col("grade"), 2, train_words=10).weights.any()
