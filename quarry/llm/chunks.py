@@ -3,7 +3,9 @@
 Word-level tokenizers never let a token run from a non-space into the space that follows it. So a text cut at those
 places can be tokenized piece by piece, and as words repeat, a batch has far fewer distinct pieces ("chunks") than
 pieces. The table of a batch is made with Arrow, its chunks are tokenized in one call, and the ids are gathered by
-position with numpy. A bounded cache in each Python worker spares chunks that an earlier batch has had.
+position with numpy. A cache in each Python worker, bounded by the bytes of what it holds, spares chunks that an
+earlier batch has had. A chunk enters it when it comes a second time, as most come only once. When the cache is full
+it starts anew; nothing depends on what it holds.
 """
 
 from __future__ import annotations
@@ -24,14 +26,19 @@ class ChunkTable:
     """Tokenizes batches of texts through a table of distinct chunks.
 
     encode: ids of each of a list of chunks. cut: the characters before which a text may be cut when the character
-    before is not one of `space`. cache_chunks bounds the worker's cache; nothing depends on what it holds.
+    before is not one of `space`. cache_bytes bounds the worker's cache (CACHED is what an entry takes beside its text).
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], cut: str, space: str, cache_chunks: int = 700_000):
-        self.encode, self.cut, self.cache_chunks = encode, cut, cache_chunks
+    CACHED = 220
+    ENCODE_AT_ONCE = 4096
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], cut: str, space: str, cache_bytes: int = 128 << 20):
+        self.encode, self.cut, self.cache_bytes = encode, cut, cache_bytes
         self.twice = f"[{space}][{cut}]"
         self.seam = re.compile(f"(?<=[^{_python_class(space)}])(?=[{cut}])")
         self.cache: dict[str, bytes] = {"": b""}
+        self.cached = 0
+        self.seen = bytearray(1 << 22)  # by hash: whether a chunk came before (or another one with its hash)
 
     def _chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, dict[int, str]]:
         """All chunks, n + 1 offsets of the texts' chunks, and whole texts to take for a chunk by its place."""
@@ -59,13 +66,21 @@ class ChunkTable:
 
     def ids_of(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk, as little-endian unsigned 32-bit bytes."""
-        cache = self.cache
+        cache, seen, mask = self.cache, self.seen, len(self.seen) - 1
         got = [cache.get(c) for c in chunks]
         new = [i for i, g in enumerate(got) if g is None]
-        for i, ids in zip(new, self.encode([chunks[i] for i in new]) if new else ()):
-            got[i] = packed = array("I", ids).tobytes()
-            if len(cache) < self.cache_chunks and len(chunks[i]) <= 64:
-                cache[chunks[i]] = packed
+        for lo in range(0, len(new), self.ENCODE_AT_ONCE):
+            some = new[lo : lo + self.ENCODE_AT_ONCE]
+            for i, ids in zip(some, self.encode([chunks[i] for i in some])):
+                chunk = chunks[i]
+                got[i] = packed = array("I", ids).tobytes()
+                at = hash(chunk) & mask
+                if seen[at] and len(chunk) <= 64:  # a longer one hardly comes again
+                    cache[chunk] = packed
+                    self.cached += self.CACHED + len(chunk) + len(packed)
+                seen[at] = 1
+        if self.cached > self.cache_bytes:
+            self.cache, self.cached = {"": b""}, 0
         return got
 
     def tokenize(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -121,6 +136,11 @@ def tokenizer_table(path: str) -> ChunkTable:
     return _TABLES[path]
 
 
+def release_tables() -> None:
+    """Drop this worker's tables: workers are reused, and a stage that tokenizes nothing has no need of them."""
+    _TABLES.clear()
+
+
 def vocabulary_path(name: str) -> str:
     """Where the installed vocabulary file of that name is."""
     import public_tokenizers

@@ -4,9 +4,13 @@ A text that says the same thing again and again compresses far better than prose
 all. Each text is compressed with zstandard as a whole and in fixed chunks; compressed size over raw size must lie
 in a band for the text's (or chunk's) length, because short inputs compress less whatever they hold.
 
+A text of at most one chunk (4,096 bytes) is its own only chunk: whether that lies in the chunk band is reported, but
+only the document band decides. Longer texts must meet both.
+
 Defined results: a null text counts as empty (no words, so it fails); bytes that are not UTF-8 are counted as they
-are; rows with a null id and repeated rows are judged like any other, one result for each row; other columns are
-ignored by judge() and passed through by keep_good().
+are; a ratio equal to a limit is within the band; very long texts are counted and compressed whole; rows with a null id
+and repeated rows are judged like any other, one result for each row; an empty table gives no rows; other columns,
+whatever their names, are ignored by judge() and passed through by keep_good().
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._text import coded, filled, owners, sliced, split_words
+from quarry.llm.chunks import release_tables
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -149,7 +154,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands
     """One row for each document: base counts, base_failed, kept, and the compression figures behind the verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 8 << 20):
+        release_tables()
+        for batch in sliced(batches, "text", 2 << 20):
             found = measures(filled(batch.column("text")), bands)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(found[c]) for c in _COLUMNS)], ["doc_id", *_COLUMNS])
 
@@ -161,7 +167,8 @@ def keep_good(docs: DataFrame, text_col: str = "text", bands: Bands = Bands()) -
     """The documents that meet the base rules and the bands, all columns as they were; no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 8 << 20):
+        release_tables()
+        for batch in sliced(batches, text_col, 2 << 20):
             yield batch.filter(pa.array(measures(filled(batch.column(text_col)), bands)["kept"]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -18,6 +18,7 @@ from quarry.llm import (
     token_store,
     url_filter,
 )
+from quarry.llm._tables import small_batches
 from quarry.llm.chunks import vocabulary_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,7 @@ def _query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
