@@ -4,8 +4,10 @@ Word-level tokenizers never let a token run from a non-space into the space that
 places can be tokenized piece by piece, and as words repeat, a batch has far fewer distinct pieces ("chunks") than
 pieces. The table of a batch is made with Arrow, its chunks are tokenized in one call, and the ids are gathered by
 position with numpy. A cache in each Python worker, bounded by the bytes of what it holds, spares chunks that an
-earlier batch has had. A chunk enters it when it comes a second time, as most come only once. When the cache is full
-it starts anew; nothing depends on what it holds.
+earlier batch has had. A chunk enters it when it comes a second time, as most come only once (with recurring=False the
+first time, which takes more memory and less time). The cache has two halves:
+when the newer one is full it takes the place of the older one, and what is found in the older one moves over, so that
+frequent chunks stay. Nothing depends on what it holds.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ class ChunkTable:
     CACHED = 220
     ENCODE_AT_ONCE = 4096
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], cut: str, space: str, cache_bytes: int = 128 << 20):
-        self.encode, self.cut, self.cache_bytes = encode, cut, cache_bytes
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], cut: str, space: str, cache_bytes: int = 128 << 20, recurring: bool = True):
+        self.encode, self.cut, self.cache_bytes, self.recurring = encode, cut, cache_bytes, recurring
         self.twice = f"[{space}][{cut}]"
         self.seam = re.compile(f"(?<=[^{_python_class(space)}])(?=[{cut}])")
-        self.cache: dict[str, bytes] = {"": b""}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.cached = 0
         self.seen = bytearray(1 << 22)  # by hash: whether a chunk came before (or another one with its hash)
 
@@ -68,21 +71,30 @@ class ChunkTable:
         """The ids of each chunk, as little-endian unsigned 32-bit bytes."""
         cache, seen, mask = self.cache, self.seen, len(self.seen) - 1
         got = [cache.get(c) for c in chunks]
-        new = [i for i, g in enumerate(got) if g is None]
+        new = []
+        for i in [i for i, g in enumerate(got) if g is None]:
+            got[i] = packed = self.older.get(chunks[i])
+            if packed is None:
+                new.append(i)
+            else:
+                self._keep(chunks[i], packed)
         for lo in range(0, len(new), self.ENCODE_AT_ONCE):
             some = new[lo : lo + self.ENCODE_AT_ONCE]
             for i, ids in zip(some, self.encode([chunks[i] for i in some])):
                 chunk = chunks[i]
                 got[i] = packed = array("I", ids).tobytes()
                 at = hash(chunk) & mask
-                if seen[at] and len(chunk) <= 64:  # a longer one hardly comes again
-                    cache[chunk] = packed
-                    self.cached += self.CACHED + len(chunk) + len(packed)
+                if (seen[at] or not self.recurring) and len(chunk) <= 64:  # a longer one hardly comes again
+                    self._keep(chunk, packed)
                 seen[at] = 1
-        if self.cached > self.cache_bytes:
-            self.cache, self.cached = {"": b""}, 0
+        if 2 * self.cached > self.cache_bytes:
+            self.older, self.cache, self.cached = self.cache, {}, 0
         return got
 
+    def _keep(self, chunk: str, packed: bytes) -> None:
+        self.cache[chunk] = packed
+        self.cached += self.CACHED + len(chunk) + len(packed)
+
     def tokenize(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, as uint32, and n + 1 offsets into them; end_id closes each text."""
         flat, bounds, whole = self._chunks(texts)
@@ -119,7 +131,7 @@ ANY_SPACE = (
 _TABLES: dict[str, ChunkTable] = {}
 
 
-def tokenizer_table(path: str) -> ChunkTable:
+def tokenizer_table(path: str, cache_bytes: int = 128 << 20, recurring: bool = True) -> ChunkTable:
     """The worker's chunk table for a file of the tokenizers library, without added special tokens.
 
     The names of special tokens in a text are ordinary text.
@@ -131,7 +143,7 @@ def tokenizer_table(path: str) -> ChunkTable:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
         _TABLES[path] = ChunkTable(
-            lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)], " \n", ANY_SPACE
+            lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)], " \n", ANY_SPACE, cache_bytes, recurring
         )
     return _TABLES[path]
 

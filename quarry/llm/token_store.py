@@ -168,14 +168,14 @@ def write_shards(
     width = bit_width(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, writer, shard, n = tokenizer_table(tokenizer_path), None, TaskContext.get().partitionId() << 20, 0
+        table, writer, shard, n = tokenizer_table(tokenizer_path, 192 << 20, recurring=False), None, TaskContext.get().partitionId() << 20, 0
 
         def closed() -> pa.RecordBatch:
             writer.close()
             row = {"shard": pa.array([shard], pa.int64()), "path": [path], "n_docs": pa.array([n], pa.int64()), "n_ids": pa.array([writer.total], pa.int64())}
             return pa.RecordBatch.from_pydict(row)
 
-        for batch in sliced(batches, "text", 2 << 20):
+        for batch in sliced(batches, "text", 4 << 20):
             if writer is None:
                 path = f"{folder}/shard-{shard:013d}-{uuid.uuid4().hex}.ids"
                 writer, n = ShardWriter(path, width), 0
