@@ -108,11 +108,26 @@ def bibtex_authors(blob: Column) -> Column:
     return F.filter(F.transform(names, lambda x: F.trim(x)), lambda n: n != "")
 
 
-#: Parts of names that mark an organisation.
-ORGANISATIONS = ("university", "institute", "laboratory", "lab", "team", "group", "inc", "corp", "consortium", "google", "meta", "microsoft")
+#: Parts of lower-case names that mark an organisation, with the blanks that keep "Vincent" a person.
+ORGANISATIONS = (
+    "university",
+    "institute",
+    " inc",
+    " ltd",
+    " lab",
+    "google",
+    "microsoft",
+    "meta ",
+    "anthropic",
+    "openai",
+    "foundation",
+    "corporation",
+    " gmbh",
+)
 
 
 def author_kind(name: Column) -> Column:
+    """Organization if a name has one of the marks, else Person."""
     low = F.lower(name)
     hit = F.lit(False)
     for word in ORGANISATIONS:
@@ -153,13 +168,21 @@ def keyword_cell(cell: Column) -> Column:
     return F.array_distinct(F.when(F.startswith(F.trim(cell), F.lit("[")) & listed.isNotNull(), F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x != "")).otherwise(parts))
 
 
-#: Patterns of tasks in the order in which they are tried.
+#: Tasks and the patterns that show them, in the order in which they are tried; case does not matter.
 TASK_PATTERNS = (
-    ("instance-segmentation", r"instance[\s-]*segmentation"), ("semantic-segmentation", r"semantic[\s-]*segmentation"),
-    ("image-segmentation", r"segment"), ("image-denoising", r"denois"), ("image-restoration", r"restor|deblur"),
-    ("super-resolution", r"super[\s-]*resolution"), ("object-detection", r"detect"), ("image-classification", r"classif"),
-    ("image-registration", r"registr"), ("image-reconstruction", r"reconstruct"), ("tracking", r"track"), ("image-to-image", r"image[\s-]*to[\s-]*image"),
-)
+    ("instance-segmentation", r"\binstance[\s_-]*segmentation\b"),
+    ("semantic-segmentation", r"\bsemantic[\s_-]*segmentation\b"),
+    ("image-segmentation", r"\bsegmentation\b"),
+    ("image-classification", r"\bclassification\b"),
+    ("object-detection", r"\b(object[\s_-]*)?detection\b"),
+    ("image-restoration", r"\brestoration\b"),
+    ("image-denoising", r"\bdenois\w*\b"),
+    ("image-super-resolution", r"\bsuper[\s_-]*resolution\b"),
+    ("image-inpainting", r"\binpaint\w*\b"),
+    ("object-tracking", r"\btracking\b"),
+    ("image-registration", r"\bregistration\b"),
+    ("object-counting", r"\bcounting\b"),
+)
 
 
 def tasks_in(text: Column, patterns=TASK_PATTERNS) -> Column:
@@ -168,9 +191,14 @@ def tasks_in(text: Column, patterns=TASK_PATTERNS) -> Column:
     return F.array_compact(F.array(*[F.when(low.rlike(p), F.lit(t)) for t, p in patterns]))
 
 
+def tag_token(tag: Column) -> Column:
+    """A tag as a token: task_token() without hyphens at its ends."""
+    return F.regexp_replace(task_token(tag), "^-+|-+$", "")
+
+
 def tasks_of(tags: Column, description: Column, documentation: Column) -> Column:
     """Tasks from the tags, else from the description, else from the documentation."""
-    first, second, third = tasks_in(F.array_join(F.coalesce(tags, empty_strings()), " ")), tasks_in(description), tasks_in(documentation)
+    first, second, third = tasks_in(F.array_join(F.transform(F.coalesce(tags, empty_strings()), tag_token), " ")), tasks_in(description), tasks_in(documentation)
     return F.when(F.size(first) > 0, first).when(F.size(second) > 0, second).otherwise(third)
 
 
@@ -199,11 +227,79 @@ def query_terms(query: Column) -> Column:
 STOP_WORDS = ("a an and are as at be by can find for from give have i in is it list me model models of on or please search show that the to want which with").split()
 
 
+def quoted_phrases(query: Column) -> Column:
+    """What a query has between double quotes, in lower case."""
+    return F.regexp_extract_all(F.lower(F.trim(query)), F.lit('"([^"]+)"'), 1)
+
+
+def query_tokens(query: Column) -> Column:
+    """The other words of a query: lower case, no signs but hyphens and stops, longer than two, no stop words."""
+    bare = F.regexp_replace(F.regexp_replace(F.lower(F.trim(query)), '"[^"]+"', ""), r"[^a-z0-9\-. ]+", " ")
+    stops = F.array(*[F.lit(w) for w in STOP_WORDS])
+    return F.filter(F.split(bare, " +"), lambda w: (F.length(w) > 2) & ~F.array_contains(stops, w))
+
+
 def clean_query(query: Column) -> Column:
-    """A spoken query without quotes, signs, short words and stop words."""
-    plain = F.regexp_replace(F.lower(F.regexp_replace(query, "[\"']", "")), r"[^a-z0-9\s\-_./]", " ")
-    words = F.filter(F.split(F.trim(plain), r"\s+"), lambda w: F.length(w) > 2)
-    return F.array_join(F.array_except(words, F.array(*[F.lit(w) for w in STOP_WORDS])), " ")
+    """query_tokens() as one text."""
+    return F.array_join(query_tokens(query), " ")
+
+
+def parameter_labels(counts: Column, total: Column, model: Column) -> Column:
+    """Map of counts by kind as labels: each kind's count, else the total, else the size in the name; null if there is none.
+
+    counts and total are null where a record has no weights metadata; a total of 0 has no label.
+    """
+    by_kind = F.when(F.size(counts) > 0, F.transform_values(counts, lambda _, v: format_count(v)))
+    whole = F.when(total.isNotNull(), F.create_map(F.lit("total"), F.when(total > 0, format_count(total))))
+    named = F.when(size_label(model).isNotNull(), F.create_map(F.lit("total"), size_label(model)))
+    return F.coalesce(by_kind, whole, named)
+
+
+def without_size(name: Column) -> Column:
+    """A model's name without size and version marks such as -7B, -small, -large, -XL and -v2."""
+    out = name
+    for mark in (r"-\d+[bB]", "-[Ss]mall", "-[Mm]edium", "-[Ll]arge", "-[Xx][Ll]", r"-v\d+"):
+        out = F.regexp_replace(out, mark, "")
+    return F.trim(out)
+
+
+def site_of(url: Column) -> Column:
+    """The identifier of the site that an address belongs to; null if it is none of the known ones."""
+    has = lambda part: F.contains(url, F.lit(part))
+    # fixed values: identifiers of the sites
+    return (
+        F.when(has("huggingface.co"), "https://ror.org/02grspc61")
+        .when(has("openml"), "https://www.openml.org")
+        .when(has("bioimage.io"), "https://ai4life.eurobioimaging.eu")
+    )
+
+
+def people(cell: Column) -> Column:
+    """array<struct(name, url)> of a cell with a JSON list of people or names, or one name: the ORCID's or the code host's address."""
+    kind = "array<struct<name: string, orcid: string, github_user: string>>"
+    person = lambda n, u: F.struct(F.coalesce(n, F.lit("")).alias("name"), u.alias("url"))
+    address = lambda p: (
+        F.when(F.coalesce(p["orcid"], F.lit("")) != "", F.concat(F.lit("https://orcid.org/"), p["orcid"]))
+        .when(F.coalesce(p["github_user"], F.lit("")) != "", F.concat(F.lit("https://github.com/"), p["github_user"]))
+        .otherwise("")
+    )
+    bare = F.trim(cell)
+    listed = F.transform(F.from_json(F.when(bare.startswith("{"), F.concat(F.lit("["), bare, F.lit("]"))).otherwise(bare), kind), lambda p: person(p["name"], address(p)))
+    names = F.transform(F.from_json(bare, Strings), lambda n: person(n, F.lit("")))
+    plain = F.when(bare != "", F.array(person(cell, F.lit("")))).otherwise(F.array().cast("array<struct<name: string, url: string>>"))
+    return F.when(bare.rlike(r'^(\[\s*)?\{'), listed).when(bare.rlike(r'^\[\s*"'), names).otherwise(plain)
+
+
+def json_pick(json: Column, *paths: str) -> Column:
+    """The first path of a JSON text that holds a plain value: fields that may be texts, lists or objects."""
+    plain = lambda v: F.when(~F.coalesce(v, F.lit("[")).rlike(r"^\s*[\[{]"), v)
+    return F.coalesce(*[plain(F.get_json_object(json, p)) for p in paths])
+
+
+def json_list(json: Column, path: str) -> Column:
+    """A JSON field as a list: of its elements, or of its one value."""
+    value = F.get_json_object(json, path)
+    return F.when(F.trim(value).startswith("["), F.filter(F.from_json(value, Strings), lambda x: F.coalesce(x, F.lit("")) != "")).when(value != "", F.array(value)).otherwise(empty_strings())
 
 
 def clip_at_word(text: Column, size: int) -> Column:

@@ -2,12 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import text as tx
 
 
+_HEADING = re.compile(r"(#{1,6})\s+\S", re.ASCII)
+_MARKS = re.compile(r"^#{1,6}\s+|\s+#*\s*$", re.ASCII)
+_TABLE = re.compile(r"\s*\|", re.ASCII)
+
+
+def _blocks(card: str) -> Iterator[tuple[int, str, tuple[int, ...], str]]:
+    """(place, kind, places of the open headings, text) of a card's blocks: headings, code, tables and paragraphs."""
+    path: list[tuple[int, int]] = []
+    inside, kind_before, block = False, "", None
+    for pos, line in enumerate(card.split("\n")):
+        bare = line.strip(" ")
+        fence = bare.startswith("```")
+        opens = fence and not inside
+        heading = None if fence or inside else _HEADING.match(line)
+        kind = "code" if fence or inside else "heading" if heading else "blank" if not bare else "table" if _TABLE.match(line) else "granular"
+        inside ^= fence
+        if heading:
+            while path and path[-1][0] >= len(heading[1]):
+                path.pop()
+            path.append((len(heading[1]), pos))
+        if block and (kind != kind_before or heading or opens):
+            yield block[0], block[1], block[2], "\n".join(block[3])
+            block = None
+        kind_before = kind
+        if kind != "blank" and not fence:
+            if block:
+                block[3].append(line)
+            else:
+                block = (pos, kind, tuple(p for _, p in path), [line])
+    if block:
+        yield block[0], block[1], block[2], "\n".join(block[3])
+
+
+def _card_chunks(card: str, least_words: int) -> Iterator[tuple[str, int, int | None, str | None, str | None, str]]:
+    """(type, place, place of the parent section, heading, parent's heading, text) of one card's chunks."""
+    heads: dict[int, str] = {}
+    sections: dict[int, tuple[tuple[int, ...], list[str]]] = {}
+    small: dict[tuple[int, str, int], tuple[int, list[str]]] = {}
+    longs: dict[tuple[int, str], int] = {}
+    loose: list[str] = []
+    for pos, kind, path, raw in _blocks(card):
+        said = _MARKS.sub("", raw) if kind == "heading" else raw.strip(" ")
+        if not said:
+            continue
+        if kind == "heading":
+            heads[pos] = said
+            sections[pos] = (path, [])
+        for p in path:
+            if p in sections:
+                sections[p][1].append(said)
+        if kind == "heading":
+            continue
+        if not path:
+            loose.append(said)
+            continue
+        # a short block goes with the next long one of its section
+        group = (path[-1], kind if kind == "granular" else f"{kind}{pos}")
+        part = longs.get(group, 0)
+        small.setdefault((*group, part), (pos, []))[1].append(said)
+        longs[group] = part + (len(said.split()) > least_words)
+    for pos, (path, said) in sections.items():
+        up = path[-2] if len(path) > 1 else None
+        yield "section", pos, up, heads[pos], heads.get(up), " ".join(said)
+    for (section, kind, _), (pos, said) in small.items():
+        if section in heads:
+            yield kind if kind == "granular" else kind.rstrip("0123456789"), pos, section, None, heads[section], " ".join(said)
+    if loose:
+        yield "orphan", 0, None, None, None, " ".join(loose)
+
+
 def chunks(docs: DataFrame, id_col: str, text_col: str, least_words: int = 20) -> DataFrame:
     """(id_col, chunk_id, type, length, parent, htext, phtext, text): the chunks of every Markdown text.
 
@@ -15,59 +89,54 @@ def chunks(docs: DataFrame, id_col: str, text_col: str, least_words: int = 20) -
     chunks of their own; other blocks are "granular", and those of at most `least_words` words are put before the next
     longer one of their section. Text before the first heading is one "orphan". Ids are hashes of document and place.
 
-    Lines are exploded once; block, section and nesting are running sums and maxima over the lines of a document.
+    A card is parsed where its row lies, on Arrow batches: no shuffle.
     """
-    lines = docs.select(F.col(id_col), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("pos", "line"))
-    run = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    order = Window.partitionBy(id_col).orderBy("pos")
-    fence = F.trim("line").startswith("```")
-    marked = lines.withColumn("fences", F.sum(fence.cast("int")).over(run)).withColumn("fence", fence)
-    in_code = F.col("fence") | (F.col("fences") % 2 == 1)
-    level = F.length(F.regexp_extract("line", r"^(#{1,6})\s+\S", 1))
-    kind = F.when(in_code, "code").when(level > 0, "heading").when(F.trim("line") == "", "blank").when(F.col("line").rlike(r"^\s*\|"), "table").otherwise("granular")
-    marked = marked.withColumn("kind", kind).withColumn("level", F.when(kind == "heading", level).otherwise(0))
-    for k in range(1, 7):
-        marked = marked.withColumn(f"at{k}", F.coalesce(F.max(F.when(F.col("level") == k, F.col("pos"))).over(run), F.lit(-1)))
-    # the last heading of a level is open if no heading of a lower level came after it
-    opened = [F.when((F.col(f"at{k}") >= 0) & (F.col(f"at{k}") > F.greatest(F.lit(-1), F.lit(-1), *[F.col(f"at{j}") for j in range(1, k)])), F.col(f"at{k}")) for k in range(1, 7)]
-    marked = marked.withColumn("path", F.array_compact(F.array(*opened)))
-    changed = (F.col("kind") != F.lag("kind", 1, "").over(order)) | ((F.col("kind") == "heading")) | (F.col("fence") & (F.col("fences") % 2 == 1))
-    blocks = (
-        marked.withColumn("block", F.sum(changed.cast("int")).over(run))
-        .filter((F.col("kind") != "blank") & ~F.col("fence"))
-        .groupBy(id_col, "block", "kind", "path")
-        .agg(F.min("pos").alias("pos"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))), lambda x: x["line"]), "\n").alias("text"))
-        .withColumn("text", F.when(F.col("kind") == "heading", F.regexp_replace("text", r"^#{1,6}\s+|\s+#*\s*$", "")).otherwise(F.trim("text")))
-        .filter("text <> ''")
-        .withColumn("section", F.try_element_at("path", F.lit(-1)))
-    )
-    words = lambda c: F.size(F.filter(F.split(c, r"\s+"), lambda w: w != ""))
-    uid = lambda kind, pos: F.lower(F.hex(F.xxhash64(F.col(id_col), kind, pos)))
-    heads = blocks.filter("kind = 'heading'").select(F.col(id_col), F.col("pos").alias("section"), F.col("text").alias("htext"), "path")
-    under = blocks.select(F.col(id_col), F.explode("path").alias("section"), "pos", "text")
-    whole = under.groupBy(id_col, "section").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
-    up = F.try_element_at("path", F.lit(-2))
-    above = heads.select(F.col(id_col).alias("__i"), F.col("section").alias("__s"), F.col("htext").alias("phtext"))
-    sections = heads.withColumn("up", up).join(whole, [id_col, "section"])
-    sections = sections.join(above, (F.col(id_col) == F.col("__i")) & (F.col("up") == F.col("__s")), "left").select(
-        id_col, uid(F.lit("section"), F.col("section")).alias("chunk_id"), F.lit("section").alias("type"), words(F.col("text")).alias("length"),
-        F.when(F.col("up").isNotNull(), uid(F.lit("section"), F.col("up"))).alias("parent"), "htext", "phtext", "text",
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                some = batch.slice(lo, 256)
+                owners, found = [], []
+                for i, card in enumerate(some.column(1).to_pylist()):
+                    own = list(_card_chunks(card or "", least_words))
+                    owners += [i] * len(own)
+                    found += own
+                kinds, places, ups, heads, above, texts = zip(*found) if found else ((),) * 6
+                columns = [some.column(0).take(pa.array(owners, pa.int64())), pa.array(kinds, pa.string()), pa.array(places, pa.int32()), pa.array(ups, pa.int32()),
+                           pa.array([len(t.split()) for t in texts], pa.int32()), pa.array(heads, pa.string()), pa.array(above, pa.string()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "type", "pos", "up", "length", "htext", "phtext", "text"])
+
+    rows = docs.select(F.col(id_col), F.col(text_col).cast("string"))
+    made = rows.mapInArrow(run, f"id {kind}, type string, pos int, up int, length int, htext string, phtext string, text string")
+    uid = lambda t, pos: F.lower(F.hex(F.xxhash64("id", t, pos)))
+    return made.select(
+        F.col("id").alias(id_col), uid("type", "pos").alias("chunk_id"), "type", "length",
+        F.when(F.col("up").isNotNull(), uid(F.lit("section"), "up")).alias("parent"), "htext", "phtext", "text",
     )
-    body = blocks.filter("kind <> 'heading' AND section IS NOT NULL")
-    # a short block shares its number of earlier long blocks with the next long one
-    in_section = Window.partitionBy(id_col, "section", "kind2").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    is_long = (words(F.col("text")) > least_words).cast("int")
-    grouped = body.withColumn("kind2", F.when(F.col("kind") == "granular", "granular").otherwise(F.concat("kind", F.col("pos").cast("string"))))
-    grouped = grouped.withColumn("part", F.coalesce(F.sum(is_long).over(in_section), F.lit(0)))
-    small = grouped.groupBy(id_col, "section", "kind", "kind2", "part").agg(
-        F.min("pos").alias("pos"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text")
+
+
+def card_text(chunks: DataFrame, id_col: str, place: str = "pos") -> DataFrame:
+    """(id_col, text): what is left of a card for prompts: no sections and code, a heading where it changes, then the texts."""
+    said = F.struct(F.col(place).alias("at"), F.coalesce("phtext", F.lit("")).alias("head"), F.coalesce("text", F.lit("")).alias("said"))
+    kept = chunks.filter(~F.col("type").isin("section", "code")).groupBy(id_col).agg(F.array_sort(F.collect_list(said)).alias("all"))
+    start = F.struct(F.lit("").alias("head"), F.lit("").alias("out"))
+    folded = F.aggregate(
+        "all",
+        start,
+        lambda acc, x: F.struct(
+            F.when(x["head"] != "", x["head"]).otherwise(acc["head"]).alias("head"),
+            F.concat(acc["out"], F.when((x["head"] != "") & (x["head"] != acc["head"]), F.concat(x["head"], F.lit("\n"))).otherwise(""), x["said"], F.lit("\n")).alias("out"),
+        ),
+        lambda acc: F.regexp_replace(acc["out"], r"^\s+|\s+\z", ""),
     )
-    named = small.join(heads.select(id_col, "section", F.col("htext").alias("phtext")), [id_col, "section"])
-    nothing = F.lit(None).cast("string")
-    granular = named.select(id_col, uid(F.col("kind"), F.col("pos")).alias("chunk_id"), F.col("kind").alias("type"), words(F.col("text")).alias("length"), uid(F.lit("section"), F.col("section")).alias("parent"), nothing.alias("htext"), "phtext", "text")
-    loose = blocks.filter("section IS NULL").groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("text"))
-    orphans = loose.select(id_col, uid(F.lit("orphan"), F.lit(0)).alias("chunk_id"), F.lit("orphan").alias("type"), words(F.col("text")).alias("length"), nothing.alias("parent"), nothing.alias("htext"), nothing.alias("phtext"), "text")
-    return sections.unionByName(granular).unionByName(orphans)
+    return kept.select(id_col, folded.alias("text"))
+
+
+def model_card(fields: list[tuple[str, Column]], most: int = 500) -> Column:
+    """A model as lines "Label: value" for a prompt; fields without a value are left out, long values cut."""
+    lines = [F.when(tx.is_meaningful(v), F.concat(F.lit(f"{label}: "), F.substring(F.trim(v), 1, most))) for label, v in fields]
+    return F.concat_ws("\n", *lines)
 
 
 def windows(docs: DataFrame, id_col: str, text_col: str, size: int = 1000, overlap: int = 200) -> DataFrame:
@@ -115,12 +184,18 @@ def crate(model_json: Column, iri: Column, published: Column) -> Column:
     return F.concat(head, iri, F.lit('"},"datePublished":"'), F.coalesce(published, F.lit("")), F.lit('"},'), model_json, F.lit("]}"))
 
 
-def prompts(cards: DataFrame, questions: DataFrame, templates: DataFrame, id_col: str, context: int, answer: int) -> DataFrame:
+def prompts(cards: DataFrame, questions: DataFrame, templates: DataFrame, id_col: str, context: int, answer: int, most: int = 1000) -> DataFrame:
     """(id_col, property, prompt): each card with each question in its type's template, where it fits the context.
 
-    Questions and templates are configuration tables of a few rows.
+    Questions and templates are configuration: more than `most` of them are an error, so what each card is joined with
+    has a bound.
     """
-    pairs = cards.join(F.broadcast(questions.join(templates, "type")))
+    asked = questions.join(templates, "type").select("property", "question", "template").limit(most + 1).collect()
+    if len(asked) > most:
+        raise ValueError(f"more than {most} questions")
+    rows = [F.struct(F.lit(r["property"]).alias("property"), F.lit(r["question"]).alias("question"), F.lit(r["template"]).alias("template")) for r in asked]
+    none = F.array().cast("array<struct<property: string, question: string, template: string>>")
+    each = cards.select(id_col, "card", F.inline(F.array(*rows) if rows else none))
     filled = F.replace(F.replace("template", F.lit("{question}"), F.col("question")), F.lit("{card}"), F.col("card"))
     words = F.size(F.split(F.trim(F.col("prompt")), r"\s+"))
-    return pairs.withColumn("prompt", filled).filter(words + answer <= context).select(id_col, "property", "prompt")
+    return each.withColumn("prompt", filled).filter(words + answer <= context).select(id_col, "property", "prompt")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import dates, idents, text
 from quarry.operators import identify, records, temporal
 
+#: Fixed value: the hub's address.
 HUB = "https://huggingface.co/"
 
 
@@ -39,7 +40,7 @@ def hub_models(raw: DataFrame, ui: str = "https://example.org/models/") -> DataF
     page = F.concat(F.lit(HUB), model)
     doi = text.doi_uri(F.col("doi")) if "doi" in raw.columns else F.lit(None).cast("string")
     blank = F.lit("")
-    method, made = "Parsed_from_HF_dataset", "Generated_from_HF_modelId"
+    method, made = "Parsed_from_HF_dataset", "Generated_from_HF_modelId"  # fixed values: names of the methods
     sources = {
         "identifier": (method, "doi, modelId"), "name": (method, "modelId"), "url": (method, "modelId"), "author": (method, "author"),
         "sharedBy": (method, "author"), "dateCreated": (method, "createdAt"), "dateModified": (method, "last_modified"),
@@ -159,9 +160,7 @@ def linked_models(models: DataFrame, long: DataFrame, platform: str) -> DataFram
 
 def search_documents(models: DataFrame, names: DataFrame) -> DataFrame:
     """The index rows: names for IRIs, defaults for what is missing, and the text that is searched."""
-    out = models
-    for field in ("keywords", "mlTask", "inLanguage", "trainedOn"):
-        out = records.lookup_array(out, "model_id", field, names, "iri", "name")
+    out = records.lookup_arrays(models, "model_id", ["keywords", "mlTask", "inLanguage", "trainedOn"], names, "iri", "name")
     out = records.lookup(out, "license", names, "iri", "name", "license")
     own = idents.first_with_prefix(F.col("identifier"), idents.GRAPH)
     unknown = lambda c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.lit("Unknown"))
@@ -198,3 +197,24 @@ def history_with_entities(store: DataFrame, names: DataFrame, model: str) -> Dat
     named = records.lookup(states, "v", names, "iri", "name", "v_name")
     out = named.groupBy("moment", "predicate_iri").agg(F.array_sort(F.collect_set("v_name")).alias("values"))
     return out.orderBy(F.desc("moment"), "predicate_iri")
+
+
+def usable_runs(runs: DataFrame, run: str, dataset: str, first: int = 1) -> DataFrame:
+    """Runs that name a dataset, without the platform's example run."""
+    return runs.filter((F.col(run) != first) & F.col(dataset).isNotNull())
+
+
+def language_names(rows: DataFrame, code: str, known: DataFrame) -> DataFrame:
+    """Adds the name of a language code: by two letters, else by three, else by what stands before the hyphen."""
+    low = F.lower(code)
+    by = lambda key, i: known.select(F.col(key).alias(f"__k{i}"), F.col("name").alias(f"__n{i}")).dropDuplicates([f"__k{i}"])
+    out = rows.join(by("alpha_2", 0), low == F.col("__k0"), "left").join(by("alpha_3", 1), low == F.col("__k1"), "left")
+    before = F.when(F.contains(low, F.lit("-")), F.substring_index(low, "-", 1))
+    out = out.join(by("alpha_2", 2), before == F.col("__k2"), "left")
+    return out.withColumn("name", F.coalesce("__n0", "__n1", "__n2")).drop(*[f"__{c}{i}" for i in range(3) for c in "kn"])
+
+
+def defined_terms(links: DataFrame, column: str, nodes: DataFrame) -> DataFrame:
+    """Links whose target is a defined term, with its name in lower case; nodes (id, types, name)."""
+    terms = nodes.filter(F.exists("types", lambda t: F.contains(t, F.lit("DefinedTerm")))).select(F.col("id").alias(column), F.lower("name").alias("name"))
+    return links.join(terms, column)

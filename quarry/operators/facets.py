@@ -84,3 +84,23 @@ def month_histogram(df: DataFrame, column: str) -> DataFrame:
     counted = df.filter(F.col(column).isNotNull()).groupBy(F.date_trunc("month", column).alias("m")).agg(F.count(F.lit(1)).alias("n"))
     span = counted.agg(F.explode(F.sequence(F.min("m"), F.max("m"), F.expr("INTERVAL 1 MONTH"))).alias("m"))
     return span.join(counted, "m", "left").select(F.date_format("m", "yyyy-MM-dd").alias("month"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def exact_medians(df: DataFrame, key: str, value: str, buckets: int = 1024) -> DataFrame:
+    """(key, median) without a group's values in one task.
+
+    Values are counted in equal ranges between a key's least and greatest; running sums over the ranges (a few numbers
+    a key) show which hold the middle ranks, and only the rows in those are ranked.
+    """
+    rows = df.select(F.col(key).alias("__k"), F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    span = rows.groupBy("__k").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.count(F.lit(1)).alias("all"))
+    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
+    placed = rows.join(span, "__k").withColumn("b", at.cast("int"))
+    counted = placed.groupBy("__k", "all", "b").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("__k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first, second = F.floor((F.col("all") + 1) / 2), F.floor((F.col("all") + 2) / 2)
+    holds = ((F.col("before") < first) & (first <= F.col("before") + F.col("n"))) | ((F.col("before") < second) & (second <= F.col("before") + F.col("n")))
+    middle = counted.withColumn("before", before).filter(holds).select("__k", "b", "before")
+    rank = F.row_number().over(Window.partitionBy("__k", "b").orderBy("__v")) + F.col("before")
+    ranked = placed.join(middle, ["__k", "b"]).withColumn("rank", rank)
+    return ranked.filter((F.col("rank") == first) | (F.col("rank") == second)).groupBy(F.col("__k").alias(key)).agg(F.avg("__v").alias("median"))

@@ -113,3 +113,8 @@ def overlay_task(tasks: Column, said: Column) -> Column:
     """An extracted task counts only where there is none."""
     none = F.size(F.coalesce(tasks, text.empty_strings())) == 0
     return F.when(none & text.is_meaningful(said), F.array(said)).otherwise(tasks)
+
+
+def wrapped_id(cell: Column) -> Column:
+    """A numeric id written as it is, or wrapped as [{"data": id}]; null for anything else."""
+    return F.coalesce(cell.try_cast("long"), F.get(F.from_json(cell, "array<struct<data: string>>"), 0)["data"].try_cast("long"))

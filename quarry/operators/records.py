@@ -32,12 +32,28 @@ def lookup(df: DataFrame, column: str, names: DataFrame, key: str, name: str, ou
     return df.join(pairs, F.col(column) == F.col("__k"), "left").withColumn(out, F.coalesce("__v", F.col(column).cast("string"))).drop("__k", "__v")
 
 
+def lookup_arrays(df: DataFrame, id_col: str, columns: list[str], names: DataFrame, key: str, name: str) -> DataFrame:
+    """The same for the elements of some array columns, keeping their order: one explode and one join for all columns.
+
+    Rows are told apart by their id and arrays together, so repeated ids keep their own arrays; null ids are one id.
+    """
+    none = F.array().cast("array<string>")
+    packed = df.withColumn("__packed", F.array(*[F.coalesce(F.col(c).cast("array<string>"), none) for c in columns]))
+    long = packed.select(id_col, "__packed").distinct().select(id_col, "__packed", F.posexplode("__packed").alias("__field", "__items"))
+    named = lookup(long.select(id_col, "__packed", "__field", F.posexplode("__items").alias("__pos", "__item")), "__item", names, key, name, "__name")
+    found = named.filter(F.col("__name").isNotNull()).groupBy(F.col(id_col).alias("__id"), F.col("__packed").alias("__same"))
+    back = found.agg(F.array_sort(F.collect_list(F.struct("__field", "__pos", "__name"))).alias("__all"))
+    out = packed.join(back, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__packed") == F.col("__same")), "left")
+
+    def own(at: int) -> Column:
+        return F.coalesce(F.transform(F.filter("__all", lambda x: x["__field"] == at), lambda x: x["__name"]), none)
+
+    return out.withColumns({c: own(i) for i, c in enumerate(columns)}).drop("__packed", "__id", "__same", "__all")
+
+
 def lookup_array(df: DataFrame, id_col: str, column: str, names: DataFrame, key: str, name: str) -> DataFrame:
-    """The same for the elements of an array column, keeping their order."""
-    long = df.select(id_col, F.posexplode_outer(column).alias("__pos", "__item"))
-    named = lookup(long, "__item", names, key, name, "__name")
-    back = named.filter(F.col("__name").isNotNull()).groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("__pos", "__name"))).alias("__all"))
-    return df.join(back, id_col, "left").withColumn(column, F.coalesce(F.transform("__all", lambda x: x["__name"]), F.array().cast("array<string>"))).drop("__all")
+    """lookup_arrays() for one column."""
+    return lookup_arrays(df, id_col, [column], names, key, name)
 
 
 def first_hit(df: DataFrame, column: str, tables: list[tuple[DataFrame, str]], value: str, key: Column | None = None) -> DataFrame:

@@ -63,11 +63,3 @@ def vector_top_k(vectors: DataFrame, query: Column, k: int, id_col: str, vector_
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rk", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("rk") <= k)
-
-
-def base_name(name: Column) -> Column:
-    """A model's name without sizes and versions."""
-    out = name
-    for tail in (r"(?i)[-_]?\d+(\.\d+)?[bm]\b", r"(?i)[-_](small|base|medium|large|xl|xxl|tiny|mini)\b", r"(?i)[-_]v\d+(\.\d+)*\b"):
-        out = F.regexp_replace(out, tail, "")
-    return out

@@ -62,3 +62,46 @@ def mentions(triples: DataFrame, predicate_part: str, object_prefix: str = "") -
     """Distinct objects of the predicates that contain a text, and begin with a prefix."""
     found = triples.filter(F.contains("p", F.lit(predicate_part)))
     return (found.filter(F.startswith("o", F.lit(object_prefix))) if object_prefix else found).select("o").distinct()
+
+
+_S, _F, _C, _I = "https://schema.org/", "https://w3id.org/fair4ml/", "https://w3id.org/codemeta/", "https://w3id.org/insilico/"
+_NAMED = ("identifier", "name", "url", "sameAs")
+#: The type of each kind of entity, and its predicates.
+KINDS = {
+    "model": (
+        _F + "MLModel",
+        [_S + p for p in ("identifier", "name", "url", "author")] + [_F + "sharedBy"]
+        + [_S + p for p in ("description", "abstract", "discussionUrl", "archivedAt")] + [_C + "readme", _C + "issueTracker", _F + "parameterCount", _F + "domain"]
+        + [_I + "dataSplits", _I + "adaptionTechniques"] + [_S + p for p in ("dateCreated", "dateModified", "datePublished")]
+        + [_S + p for p in ("license", "source", "keywords", "inLanguage")] + [_F + p for p in ("supportedLanguages", "mlTask", "modelCategory", "baseModel", "evaluatedOn")],
+    ),
+    "article": (_S + "ScholarlyArticle", [_S + p for p in (*_NAMED, "description", "about", "author", "isPartOf", "comment", "datePublished", "dateModified")]),
+    "license": (
+        _S + "CreativeWork",
+        [_S + p for p in (*_NAMED, "alternateName", "description", "abstract", "text", "license", "version", "copyrightNotice")]
+        + [_S + p for p in ("legislationJurisdiction", "legislationType", "isBasedOn", "subjectOf", "dateCreated", "dateModified", "datePublished")],
+    ),
+    "website": (_S + "WebSite", [_S + p for p in (*_NAMED, "description", "alternateName")]),
+    "dataset": (
+        _S + "Dataset",
+        [_S + p for p in (*_NAMED, "description", "license")] + ["http://purl.org/dc/terms/conformsTo", "http://mlcommons.org/croissant/citeAs", _S + "creator"]
+        + [_S + p for p in ("keywords", "datePublished", "dateModified")],
+    ),
+    "term": (_S + "DefinedTerm", [_S + p for p in (*_NAMED, "description", "termCode", "alternateName", "inDefinedTermSet")]),
+    "language": (_S + "Language", [_S + p for p in (*_NAMED, "alternateName", "description")]),
+}
+
+
+def entity_triples(rows: DataFrame, kind: str, subject: str, citation: str | None = None) -> DataFrame:
+    """The triples of one kind of entity, from columns named by the last part of their predicates; others are ignored.
+
+    citation names a list column of a model whose works are kept together as one JSON text.
+    """
+    iri, predicates = KINDS[kind]
+    short = {p.rsplit("/", 1)[-1]: p for p in predicates}
+    own = rows
+    mapped = {c: short[c] for c in rows.columns if c in short}
+    if citation:
+        own = own.withColumn("__citation", F.when(F.size(citation) > 0, F.to_json(citation)))
+        mapped["__citation"] = _S + "citation"
+    return to_triples(own, subject, mapped, kind=iri)

@@ -97,3 +97,45 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = log.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/log")
     run.awaitTermination()
     return spark.read.parquet(f"{path}/log").select("user_id", "event_type")
+
+
+@register(
+    "md_chunk_outline",
+    """
+    SELECT s_suppkey, string_agg(type || ':' || coalesce(htext, '') || ':' || coalesce(phtext, '') || ':' || text, ';' ORDER BY type, text) AS chunks FROM (
+      SELECT s_suppkey, unnest(['orphan', 'section', 'section', 'granular', 'code', 'table', 'granular']) AS type,
+        unnest([NULL, s_name, 'Use', NULL, NULL, NULL, NULL]) AS htext, unnest([NULL, NULL, s_name, s_name, 'Use', 'Use', 'Use']) AS phtext,
+        unnest(['intro', s_name || ' about it Use | a | code() end', 'Use | a | code() end', 'about it', 'code()', '| a |', 'end']) AS text FROM supplier)
+    GROUP BY s_suppkey
+    """,
+)
+def md_chunk_outline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks of small cards with every kind of block."""
+    card = F.concat(F.lit("intro\n\n# "), F.col("s_name"), F.lit(" #\n\nabout it\n\n## Use\n| a |\n```py\ncode()\n```\n\nend\n"))
+    made = cards.chunks(table(spark, sf_dir, "supplier").select("s_suppkey", card.alias("card")), "s_suppkey", "card")
+    said = F.concat_ws(":", "type", F.coalesce("htext", F.lit("")), F.coalesce("phtext", F.lit("")), "text")
+    ordered = F.array_sort(F.collect_list(F.struct("type", "text", said.alias("said"))))
+    return made.groupBy("s_suppkey").agg(F.array_join(F.transform(ordered, lambda x: x["said"]), ";").alias("chunks"))
+
+
+@register(
+    "card_texts",
+    """
+    WITH c AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'code' ELSE 'granular' END AS type, 'H' || (turn // 4) AS h, 't' || turn AS t FROM conversations),
+    k AS (SELECT *, lag(h) OVER (PARTITION BY conv_id ORDER BY turn) AS b FROM c WHERE type <> 'code')
+    SELECT conv_id, string_agg(CASE WHEN b = h THEN '' ELSE h || chr(10) END || t, chr(10) ORDER BY turn) AS text FROM k GROUP BY conv_id
+    """,
+)
+def card_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards for prompts: code left out, headings where they change."""
+    turn = F.col("turn")
+    kind = F.when(turn % 3 == 0, "code").otherwise("granular")
+    head = F.concat(F.lit("H"), F.floor(turn / 4).cast("string"))
+    chunks = table(spark, sf_dir, "conversations").select("conv_id", turn.alias("pos"), kind.alias("type"), head.alias("phtext"), F.concat(F.lit("t"), turn.cast("string")).alias("text"))
+    return cards.card_text(chunks, "conv_id")
+
+
+@register("model_cards", "SELECT p_partkey, 'Name: ' || p_name || chr(10) || 'Brand: ' || p_brand AS card FROM part")
+def model_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [("Name", F.col("p_name")), ("License", F.lit("NA")), ("Brand", F.col("p_brand")), ("Tasks", F.lit(None).cast("string"))]
+    return table(spark, sf_dir, "part").select("p_partkey", cards.model_card(fields).alias("card"))

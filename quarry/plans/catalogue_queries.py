@@ -89,6 +89,6 @@ def facets_of_related(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("category", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("schema_fields")
+@register("schema_fields", "SELECT * FROM (VALUES " + ", ".join(f"('{f.name}', {repr(f.metadata.get('iri')) if f.metadata.get('iri') else 'NULL'}, '{f.dataType.simpleString()}')" for f in schemas.MODEL) + ") AS t(property, iri, type)")
 def schema_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schemas.field_table(spark)

@@ -43,5 +43,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows, checkpointed in the shared folder that the cluster names; a temporary one only where none is named."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quarry-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and (not context.master.startswith("local") or context.master.startswith("local-")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quarry-"))
     return df.checkpoint()

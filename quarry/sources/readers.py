@@ -26,13 +26,17 @@ def read_records(spark: SparkSession, path: str, schema: StructType | str) -> Da
 
 
 def read_entities(spark: SparkSession, path: str | None, schema: StructType | str) -> DataFrame:
-    """An entity file, or no rows where there is none."""
+    """An entity file, or no rows where there is none; any other fault is raised."""
     if not path:
         return spark.createDataFrame([], schema)
     try:
         return read_records(spark, path, schema)
-    except (AnalysisException, ValueError):
-        return spark.createDataFrame([], schema)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    except ValueError:  # an empty file
+        pass
+    return spark.createDataFrame([], schema)
 
 
 def read_lines(spark: SparkSession, path: str, column: str = "id") -> DataFrame:

@@ -84,7 +84,8 @@ def test_cards_and_citations(spark):
     assert one(spark, text.bibtex_authors(text.bibtex_field(F.lit(entry), "author"))) == ["Doe", "Jane", "Example University"]
     assert one(spark, text.keyword_cell(F.lit('["a", " b "]'))) == ["a", "b"] and one(spark, text.keyword_cell(F.lit("a, b ,,a"))) == ["a", "b"]
     assert one(spark, text.tasks_of(F.array(F.lit("x")), F.lit("Nuclei segmentation"), F.lit("denoise"))) == ["image-segmentation"]
-    assert one(spark, text.clean_query(F.lit('Show me "BERT" models for the medical domain!'))) == "bert medical domain"
+    assert one(spark, text.clean_query(F.lit('Show me "BERT" models for the medical domain!'))) == "medical domain"
+    assert one(spark, text.quoted_phrases(F.lit('Show me "BERT" models for the medical domain!'))) == ["bert"]
     assert one(spark, text.json_block(F.lit('```json\n{"a": {"b": 1}}\n```'))) == '{"a": {"b": 1}}'
 
 
