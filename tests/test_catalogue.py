@@ -57,12 +57,12 @@ def test_image_transform(spark):
     values = dict.fromkeys(fields)
     values |= {
         "modelId": "affable-shark", "author": '[{"name": "Jane Doe"}]', "sharedBy": "Team", "url": "https://bio.org/m", "dateCreated": "2024-01-01T00:00:00Z",
-        "intendedUse": "Segment nuclei", "documentation": "# Doc", "readme_file": "no url", "referencePublication": "https://doi.org/10.5281/ZENODO.1", "license": "MIT",
+        "intendedUse": "Segmentation of nuclei", "documentation": "# Doc", "readme_file": "no url", "referencePublication": "https://doi.org/10.5281/ZENODO.1", "license": "MIT",
         "keywords": '["nuclei", "unet"]', "citation": '[{"doi": "10.1000/x1", "text": "One"}, {"text": "see 10.1000/x2"}, {"doi": "10.5281/zenodo.1"}, {"text": "none"}]',
     }
     raw = spark.createDataFrame([tuple(values[f] for f in fields)], schemas.RAW_IMAGE)
     r = cat.image_models(raw).first()
-    assert (r.name, r.author, r.sharedBy, r.description, r.abstract, r.readme) == ("affable-shark", "Jane Doe", "Team", "Segment nuclei", "# Doc", None)
+    assert (r.name, r.author, r.sharedBy, r.description, r.abstract, r.readme) == ("affable-shark", "Jane Doe", "Team", "Segmentation of nuclei", "# Doc", None)
     assert r.identifier[0] == "https://doi.org/10.5281/zenodo.1" and r.datePublished == D(2024, 1, 1) and r.archivedAt == "https://bio.org/m"
     cited = raw.select(cat.citations(F.col("citation"), F.col("referencePublication")).alias("c")).first().c
     assert [(c.id, c.name) for c in cited] == [
