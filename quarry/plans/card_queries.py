@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import register
 from quarry.operators import cards
-from quarry.session import table
+from quarry.session import scratch, table
 from quarry.streaming import incremental
 
 
@@ -92,8 +90,7 @@ def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").select("user_id", "event_type", "ts").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
     log = incremental.changes(stream, "user_id", "event_type", "ts")
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    path = f"{root.rstrip('/')}/quarry-stream-{uuid.uuid4().hex}"
+    path = scratch(spark, "stream")
     run = log.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/log")
     run.awaitTermination()
     return spark.read.parquet(f"{path}/log").select("user_id", "event_type")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="quarry-"))
     return df.checkpoint()
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder name where the cluster shares files: under spark.checkpoint.dir, else in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"

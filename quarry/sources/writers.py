@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators.triples import n_triples
@@ -40,3 +42,9 @@ def write_n_triples(triples: DataFrame, path: str) -> None:
 def report(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows by key: what a load report holds."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def rebuilt(spark: SparkSession, old: str, new: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A table written anew beside its old form, from that; the caller drops the old one when nothing reads it any more."""
+    change(spark.read.parquet(old)).write.parquet(new)
+    return spark.read.parquet(new)
