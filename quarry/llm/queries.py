@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
+    collocations,
     interpolated_lm,
     license_scan,
     media_store,
@@ -94,3 +95,8 @@ def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op3_interpolated_lm")
 def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score_texts(_table(spark, sf_dir, "documents"))
+
+
+@_query("op11_phrase_collocations", collocations.collocations_sql())
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
