@@ -275,7 +275,7 @@ def _longer(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def frequent_phrases(
-    docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang", block_bytes: int = 24 << 20, words_per_range: int = 2_000_000
+    docs: DataFrame, least: int = 10, text_col: str = "text", lang_col: str = "lang", block_bytes: int = 12 << 20, words_per_range: int = 2_000_000
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Frequent words (lang, word, f, id), pairs (w1, w2, a), triples (w1, w2, w3, a), and languages (lang, n)."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"))
@@ -309,7 +309,7 @@ def collocations(
     scale: int = 1_000_000,
     text_col: str = "text",
     lang_col: str = "lang",
-    block_bytes: int = 24 << 20,
+    block_bytes: int = 12 << 20,
     words_per_range: int = 2_000_000,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's `top` collocations, best first."""
