@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
     collocations,
+    decontaminate,
     interpolated_lm,
     license_scan,
     media_store,
@@ -100,3 +101,8 @@ def op3_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op11_phrase_collocations", collocations.collocations_sql())
 def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_benchmark_decontamination", decontaminate.report_sql())
+def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("longest")
