@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import (
+    alignment,
     collocations,
     decontaminate,
     interpolated_lm,
@@ -106,3 +107,8 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op12_benchmark_decontamination", decontaminate.report_sql())
 def op12_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("longest")
+
+
+@_query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), vocabulary_path("piece_bpe_32k.model"))

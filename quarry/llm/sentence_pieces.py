@@ -54,11 +54,11 @@ class Codec:
         ids = self.model.encode([c[1:] for c in chunks], num_threads=1)
         return [self.lone_mark if c == " " else i for c, i in zip(chunks, ids)]
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts with their end ids, and n + 1 offsets into them."""
+    def encode(self, texts: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, with their end ids or without, and n + 1 offsets into them."""
         plain = pc.replace_substring(texts, MARK, " ")
         marked = pc.if_else(pc.equal(plain, ""), plain, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), plain, pa.scalar(" ", pa.large_string())))
-        return self.table.tokenize(marked, self.end_id)
+        return self.table.tokenize(marked, self.end_id if end else None)
 
     def decode(self, ids: list[int]) -> str:
         return self.model.decode(ids)
