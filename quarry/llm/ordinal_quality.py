@@ -8,7 +8,7 @@ square root of its words. Whole words and whole texts count.
 
 Training takes a bounded sample: the labelled rows with the least hashes of their ids, `train_rows` at most (8,000 by
 default), and of their texts, in the order of the hashes, as many as have `train_words` words together (4,000,000 by
-default). They are joined by id with a broadcast of that many ids, turned into features where they lie, and fitted in
+default), those of more than `text_words` words (200,000 by default) left out before. They are joined by id with a broadcast of that many ids, turned into features where they lie, and fitted in
 one task; everything else runs over all rows. Scoring is one pass without a shuffle.
 
 Defined results: a text without words (or a null) has grade 0 and tail probability 0, so it is rejected; without
@@ -16,7 +16,7 @@ labelled rows all weights are zero and the tails are evenly spaced, so texts wit
 grade or id is ignored; a grade that an id has in several labels counts once, different grades of an id each count;
 of several documents with a labelled id the one with the least hash of its features is learned from; a tail
 probability equal to the threshold is kept; very long texts are scored whole, in one piece; a text of more than
-train_words words is not learned from; rows with a null id and repeated rows are scored like any other; an empty table
+text_words or train_words words is not learned from, and takes nothing from the others' share; rows with a null id and repeated rows are scored like any other; an empty table
 gives no rows; other columns, whatever their names, are ignored by score() and passed through by keep_good().
 """
 
@@ -164,6 +164,7 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     train_words: int = 4_000_000,
+    text_words: int = 200_000,
 ) -> OrdinalModel:
     """Fit on a bounded sample of the labelled rows; grade is an expression over the labels, from 0 to n_grades - 1."""
     graded = labels.select(F.col("doc_id").cast("long").alias("l_id"), grade.cast("int").alias("grade"))
@@ -188,7 +189,8 @@ def train(
     # rows that repeat an id are merged before the shuffle; what is left is a row for each (id, grade) of the sample
     one = made.groupBy("doc_id", "grade").agg(F.min(F.struct("digest", "n_words")).alias("m")).select("doc_id", "grade", "m.digest", "m.n_words")
     in_order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").rowsBetween(Window.unboundedPreceding, 0)  # train_rows rows at most
-    taken = one.withColumn("words", F.sum("n_words").over(in_order)).filter((F.col("words") <= train_words) | (F.col("n_words") == 0))
+    usable_texts = one.filter(F.col("n_words") <= min(text_words, train_words))  # before the running sum, which they would use up
+    taken = usable_texts.withColumn("words", F.sum("n_words").over(in_order)).filter((F.col("words") <= train_words) | (F.col("n_words") == 0))
     learned = made.join(F.broadcast(taken.select("doc_id", "grade", "digest")), ["doc_id", "grade", "digest"], "left_semi")
 
     def fit_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
