@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -52,6 +54,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder name where the cluster shares files: under spark.checkpoint.dir, else in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+    """A fresh folder name where the cluster shares files, deleted when the driver's Python ends.
+
+    That is under spark.checkpoint.dir. Where it is not set, a local master gets a temporary folder; on a cluster that
+    would be a folder of the driver's machine alone, so it is an error there.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="quarry-")
+        spark.sparkContext.setCheckpointDir(root)
+    path = f"{root.rstrip('/')}/quarry-{name}-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone by now
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
