@@ -80,20 +80,26 @@ def prompt_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "stream_change_log",
     """
-    WITH e AS (SELECT user_id, ts, min_by(event_type, event_type) AS event_type FROM events GROUP BY 1, 2),
+    WITH e AS (SELECT user_id, ts, min(event_type) AS event_type FROM events GROUP BY 1, 2),
     c AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS b, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM e)
-    SELECT user_id, event_type FROM c WHERE n = 1 OR b <> event_type
+    SELECT user_id, event_type, ts AS valid_from FROM c WHERE n = 1 OR b <> event_type
     """,
 )
 def stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Change-only state over a stream of events, run to its end; the log is a Parquet sink in the shared folder."""
-    schema = table(spark, sf_dir, "events").select("user_id", "event_type", "ts").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("recursiveFileLookup", "true").parquet(sf_dir)
-    log = incremental.changes(stream, "user_id", "event_type", "ts")
+    """Changes of each user's event type over a stream of events that come out of order, run to its end.
+
+    The table is dealt to files by a hash, so every file has events of the whole time, and read one file a batch.
+    """
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     path = scratch(spark, "stream")
-    run = log.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/log")
+    events.repartition(3, F.xxhash64("ts", "user_id")).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    log = incremental.changes(stream, "user_id", "event_type", "ts", delay="60 days")
+    with incremental.keyed_state(spark):
+        run = log.writeStream.format("parquet").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start(f"{path}/log")
     run.awaitTermination()
-    return spark.read.parquet(f"{path}/log").select("user_id", "event_type")
+    settled = incremental.settled_log(spark.read.schema(log.schema).parquet(f"{path}/log"), "user_id", "event_type")
+    return settled.select("user_id", "event_type", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"))
 
 
 @register(

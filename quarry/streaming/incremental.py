@@ -1,12 +1,19 @@
-"""Structured Streaming forms: recent records, and change-only property state."""
+"""Structured Streaming forms: recent records, and a change log in event time."""
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def recent_records(stream: DataFrame, key: str, at: str, delay: str = "7 days") -> DataFrame:
@@ -14,26 +21,130 @@ def recent_records(stream: DataFrame, key: str, at: str, delay: str = "7 days")
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])
 
 
-def changes(stream: DataFrame, key: str, value: str, at: str) -> DataFrame:
-    """(key, value, valid_from): a row whenever a key's value differs from the one before; state is one row a key.
+@contextlib.contextmanager
+def keyed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which change logs need: on disk, not on the heap."""
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before) if before else spark.conf.unset(_PROVIDER)
+
+
+class ChangeLog(StatefulProcessor):
+    """A key's values in event time, and what each arrival changes in its log.
 
-    Records of a batch are taken in order of time; one that is not later than its key's state is ignored.
+    State: the value that is settled, up to when, and the observations after it, which late records may still alter. An
+    event-time timer settles those that the watermark has passed, so state holds one watermark's delay of a key.
     """
 
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, when = state.get if state.exists else (None, None)
-        out = []
-        for row in sorted((r for f in frames for r in f.itertuples(index=False)), key=lambda r: (getattr(r, at), str(getattr(r, value)))):
-            v, t = getattr(row, value), getattr(row, at)
-            if when is not None and t <= when:
-                continue
-            if when is None or v != last:
-                out.append((k[0], v, t))
-            last, when = v, t
-        state.update((last, when))
-        yield pd.DataFrame(out, columns=[key, value, "valid_from"])
-
-    kinds = dict(stream.dtypes)
-    return stream.select(key, value, at).groupBy(key).applyInPandasWithState(
-        step, f"{key} {kinds[key]}, {value} {kinds[value]}, valid_from {kinds[at]}", f"v {kinds[value]}, t {kinds[at]}", "append", GroupStateTimeout.NoTimeout
+    def __init__(self, key: str, value: str, at: str, schema: StructType):
+        self.key, self.value, self.at, self.schema = key, value, at, schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        kind = self.schema[self.value].dataType.simpleString()
+        self.handle = handle
+        self.state = handle.getValueState("log", f"known boolean, settled {kind}, until long, times array<long>, vals array<{kind}>")
+
+    def _load(self) -> tuple[bool, object, int, np.ndarray, np.ndarray]:
+        if not self.state.exists():
+            return False, None, np.iinfo(np.int64).min, np.zeros(0, np.int64), np.zeros(0, object)
+        known, settled, until, times, values = self.state.get()
+        return known, settled, until, np.array(list(times), np.int64), _objects(values)
+
+    def _save(self, known: bool, settled: object, until: int, times: np.ndarray, values: np.ndarray) -> None:
+        self.state.update((bool(known), settled, int(until), times.tolist(), values.tolist()))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known, settled, until, times, values = self._load()
+        passed = max(until, timerValues.getCurrentWatermarkInMs() * 1000)  # the timers of this batch come after its rows
+        fresh = not len(times)
+        before = set(_changes(known, settled, times, values))
+        for frame in rows:  # one Arrow batch of the key at a time
+            moments = frame[self.at].to_numpy("datetime64[us]").astype(np.int64)
+            usable = frame[self.at].notna().to_numpy() & (moments > passed)
+            times, values = _merged(np.concatenate([times, moments[usable]]), np.concatenate([values, _objects(frame[self.value])[usable]]))
+        after = set(_changes(known, settled, times, values))
+        self._save(known, settled, until, times, values)
+        if fresh and len(times):
+            self.handle.registerTimer(int(times[0]) // 1000 + 1)
+        out = [(t, v, -1) for t, v in before - after] + [(t, v, 1) for t, v in after - before]
+        if out:
+            yield pd.DataFrame(
+                {
+                    self.key: pd.Series([key[0]] * len(out), dtype=object),
+                    self.value: pd.Series([v for _, v, _ in out], dtype=object),
+                    "valid_from": pd.to_datetime([t for t, _, _ in out], unit="us"),
+                    "sign": np.array([s for _, _, s in out], np.int32),
+                }
+            )
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        known, settled, until, times, values = self._load()
+        until = max(until, timerValues.getCurrentWatermarkInMs() * 1000)
+        done = int(np.searchsorted(times, until, side="right"))
+        if done:
+            known, settled = True, values[done - 1]
+        times, values = times[done:], values[done:]
+        self._save(known, settled, until, times, values)
+        if len(times):
+            self.handle.registerTimer(int(times[0]) // 1000 + 1)
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _objects(values) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = [None if v is None or v is pd.NA or v != v else v for v in values]
+    return out
+
+
+def _merged(times: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Observations in order of time, one for each moment: the least value, a null only where there is no other."""
+    table = pd.DataFrame({"t": times, "v": values}).sort_values(["t", "v"], kind="stable", na_position="last").drop_duplicates("t")
+    return table["t"].to_numpy(), _objects(table["v"])
+
+
+def _changes(known: bool, settled: object, times: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, object]]:
+    """Moments whose value differs from the one before."""
+    last, any_before = settled, known
+    for t, v in zip(times.tolist(), values):
+        if not any_before or v != last:
+            yield t, v
+        last, any_before = v, True
+
+
+def changes(stream: DataFrame, key: str, value: str, at: str, delay: str = "7 days") -> DataFrame:
+    """(key, value, valid_from, sign): what each arrival adds to (1) and takes from (-1) the log of a key's changes.
+
+    Records may come in any order within the delay: a late one enters the log where it belongs, and a row that is no
+    change any more is taken back. Rows that the watermark has passed when they come are dropped, rows without a time too;
+    of several values at one moment the least counts; nulls are a value. settled_log() folds the rows. Start the
+    query inside keyed_state().
+    """
+    rows = stream.select(key, value, F.col(at).cast("timestamp").alias(at))
+    kinds = dict(rows.dtypes)
+    return (
+        rows.withWatermark(at, delay)
+        .groupBy(key)
+        .transformWithStateInPandas(
+            ChangeLog(key, value, at, rows.schema), f"{key} {kinds[key]}, {value} {kinds[value]}, valid_from {kinds[at]}, sign int", "append", "EventTime"
+        )
     )
+
+
+def settled_log(written: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, value, valid_from): the rows of the log that were added more often than taken back."""
+    folded = written.groupBy(key, value, "valid_from").agg(F.sum("sign").alias("n"))
+    return folded.filter("n > 0").drop("n")
+
+
+def change_log(rows: DataFrame, key: str, value: str, at: str) -> DataFrame:
+    """The same log of a table, by a window over each key."""
+    one = rows.filter(F.col(at).isNotNull()).groupBy(key, at).agg(F.min(value).alias(value))
+    before = Window.partitionBy(key).orderBy(at)
+    marked = one.withColumn("__first", F.row_number().over(before) == 1).withColumn("__before", F.lag(value).over(before))
+    return marked.filter(F.col("__first") | ~F.col(value).eqNullSafe(F.col("__before"))).select(key, value, F.col(at).alias("valid_from"))
