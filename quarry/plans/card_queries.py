@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.catalog import register
-from quarry.operators import cards
+from quarry.operators import cards, splitting
 from quarry.session import scratch, table
 from quarry.streaming import incremental
 
@@ -142,3 +142,24 @@ def card_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [("Name", F.col("p_name")), ("License", F.lit("NA")), ("Brand", F.col("p_brand")), ("Tasks", F.lit(None).cast("string"))]
     return table(spark, sf_dir, "part").select("p_partkey", cards.model_card(fields).alias("card"))
+
+
+@register("recursive_chunks")
+def recursive_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in chunks of 1000 characters with an overlap of 200."""
+    return splitting.chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text")).drop("text")
+
+
+@register("section_chunks")
+def section_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as model texts with sections, cut at these first."""
+    told = F.concat(F.lit("Model Name: "), F.col("source"), F.lit("\n== Model Properties ==\n"), F.coalesce("text", F.lit("")))
+    return splitting.chunks(table(spark, sf_dir, "documents").select("doc_id", told.alias("told")), F.col("told"), by_section=True).drop("told")
+
+
+@register("answer_prompt")
+def answer_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt for a question: the three nearest chunks of all documents."""
+    question = "the license of the edited thing"
+    chunked = splitting.chunks(table(spark, sf_dir, "documents").select("doc_id", "text"), F.col("text"))
+    return splitting.answer_prompt(splitting.nearest_chunks(chunked, question, ["doc_id"]), question)
