@@ -32,7 +32,8 @@ Pattern = tuple[tuple[int, ...], int]
 
 
 def lower_bound(counts: np.ndarray, capacity: int) -> int:
-    """Sequences that any packing needs: by total length, and by the pieces too long to share (all thresholds)."""
+    """Sequences that any packing needs: by total length, by the pieces too long to share (all thresholds), and by how many
+    pieces of a length share one (dual feasible weights, which add up to one at most in any sequence)."""
     sizes = np.arange(len(counts))
     best = -(-int((counts * sizes).sum()) // capacity)
     number = np.concatenate([[0], np.cumsum(counts)])
@@ -45,6 +46,11 @@ def lower_bound(counts: np.ndarray, capacity: int) -> int:
         small_w = int(weight[half + 1] - weight[k])
         spare = middle * capacity - middle_w
         best = max(best, big + middle + max(0, -(-(small_w - spare) // capacity)))
+    for k in range(1, min(capacity, 128)):  # a length's weight in units of 1 / (k * capacity)
+        whole, rest = np.divmod((k + 1) * sizes, capacity)
+        parts = np.where(rest == 0, sizes * k, whole * capacity)
+        held = sum(int(c) * int(w) for c, w in zip(counts[parts > 0], parts[parts > 0]))
+        best = max(best, -(-held // (k * capacity)))
     return best
 
 
@@ -57,13 +63,14 @@ def _largest_fit(counts: np.ndarray, room: int, used: dict[int, int]) -> int:
     return 0
 
 
-def _sums(items: list[int]) -> list[int]:
-    """The sums of all sub-multisets of two pieces or more."""
-    single, several = {0}, set()
-    for x in items:
-        several |= {s + x for s in several} | {s + x for s in single if s}
-        single.add(x)
-    return sorted(several)
+def _spread(bits: int, by: int) -> int:
+    """The bits, each also set at the `by` places above it."""
+    done = 0
+    while done < by:
+        step = min(done + 1, by - done)
+        bits |= bits << step
+        done += step
+    return bits
 
 
 def fillings(counts: np.ndarray, longest: int, capacity: int, most_waste: int, spend: Callable[[], bool]) -> Iterator[tuple[int, ...]]:
@@ -72,45 +79,68 @@ def fillings(counts: np.ndarray, longest: int, capacity: int, most_waste: int, s
     A filling is dominated if some of its pieces can be swapped for one spare piece that is longer than they are
     together and still fits, or for one of just their length if they are several: what then remains to be packed is
     never harder. spend() is asked at every step and ends the enumeration when it says no.
+
+    Sets of lengths are bits of whole numbers, so a step takes the same time however many pieces a filling holds.
     """
     room = capacity - longest
     free = counts[: room + 1].copy()
     if longest <= room:
         free[longest] -= 1
     spare = free.tolist()  # pieces that are left beside those in `items`
-    sizes = [x for x in range(room, 0, -1) if spare[x]]
-    least = sizes[-1] if sizes else 0
+    spare[0] = 0
+    sizes = [x for x in range(1, room + 1) if spare[x]]
+    least = sizes[0] if sizes else 0
+    within = (1 << (room + 1)) - 1
+    left = sum(1 << x for x in sizes)  # the lengths of spare pieces
     items: list[int] = []
+    # what was before each item: the sums of one piece, and of several
+    single, several, before = 0, 0, []
 
     def dominated(waste: int) -> bool:
-        if waste and any(any(spare[x + 1 : x + waste + 1]) for x in {*items, 0}):
+        if waste and any(_spread(1 << x, waste) & ~(1 << x) & left for x in {*items, 0}):
             return True
-        return len(items) > 1 and any(any(spare[s : s + waste + 1]) for s in _sums(items) if s <= room)
-
-    def exactly(total: int, start: int) -> Iterator[None]:
-        """Multisets of that total, longest pieces first, none of whose parts could be one spare piece of their length."""
-        if total == 0:
-            yield
-            return
-        for at in range(start, len(sizes)):
-            x = sizes[at]
-            if x > total or not spare[x]:
-                continue
-            if total - x and total - x < least:
-                continue
-            if not spend():
-                return
-            spare[x] -= 1
-            items.append(x)
-            if len(items) < 2 or not any(spare[s] for s in _sums(items) if s <= room):
-                yield from exactly(total - x, at)
-            items.pop()
-            spare[x] += 1
+        return bool(_spread(several & within, waste) & left & within)
 
     for waste in range(min(most_waste, room) + 1):
-        for _ in exactly(room - waste, 0):
+        if not spend():
+            return
+        total = room - waste
+        if total == 0:
             if not dominated(waste):
-                yield tuple(items)
+                yield ()
+            continue
+        # depth first over multisets of that total, longest pieces first; `limits` holds the longest piece to try next
+        limits = [total]
+        while limits:
+            x = (left & ((1 << (min(limits[-1], total) + 1)) - 1)).bit_length() - 1
+            if x > 0:
+                limits[-1] = x - 1
+                if total - x and total - x < least:
+                    continue
+                if not spend():
+                    return
+                before.append((single, several))
+                several, single = several | (several | single) << x, single | 1 << x
+                spare[x] -= 1
+                if not spare[x]:
+                    left &= ~(1 << x)
+                items.append(x)
+                total -= x
+                if not several & left & within:
+                    if total:
+                        limits.append(x)
+                        continue
+                    if not dominated(waste):
+                        yield tuple(items)
+            else:
+                limits.pop()
+                if not limits:
+                    break
+            x = items.pop()
+            total += x
+            spare[x] += 1
+            left |= 1 << x
+            single, several = before.pop()
 
 
 def _descend(counts: np.ndarray, capacity: int, choose) -> list[Pattern]:

@@ -120,3 +120,30 @@ def test_whole_query(spark):
     same = packing.pack(spark.createDataFrame([(None, "")] * 5000, "doc_id long, text string"), PATH, rows_per_group=50).collect()
     assert {(r.sequence_id, r.offset) for r in same} == {(n // 1024, n % 1024) for n in range(5000)}
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_many_short_pieces_end_soon():
+    """A step's work does not grow with the pieces that a filling holds."""
+    import time
+
+    for histogram in ({5: 100_000, 7: 99_999}, {3: 1024}, {350: 3000, 340: 10}, {1: 5000, 1000: 3, 600: 7}):
+        counts = np.zeros(1025, np.int64)
+        for length, n in histogram.items():
+            counts[length] = n
+        start = time.process_time()
+        patterns = packing.complete_bins(counts, 1024)
+        assert time.process_time() - start < 20
+        held = np.zeros_like(counts)
+        for items, times in patterns:
+            assert sum(items) <= 1024
+            np.add.at(held, list(items), times)
+        assert (held == counts).all()
+        assert packing.lower_bound(counts, 1024) <= sum(t for _, t in patterns) <= sum(t for _, t in packing.best_fit(counts, 1024))
+
+
+def test_the_bound_holds():
+    rng = random.Random(8)
+    for _ in range(80):
+        capacity = rng.randint(6, 30)
+        lengths = sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 8))), reverse=True)
+        assert packing.lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity) <= fewest(lengths, capacity)
