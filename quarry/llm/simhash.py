@@ -201,18 +201,25 @@ def near_duplicates(
     )
 
 
-def _linked_texts(texts: DataFrame, radius: int) -> DataFrame:
-    """(node, root) of the distinct texts (tid, fps) that are linked to others: root is the least tid of the component."""
-    held = texts.select("tid", F.posexplode("fps").alias("k", "fp"))
-    nodes, nodes_path = materialize_at(held.groupBy("k", "fp").agg(F.min("tid").alias("lead"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
-    links = link_fingerprints(nodes.select("k", "fp"), radius)
-    lead = lambda c: nodes.select("k", F.col("fp").alias(c), F.col("lead").alias(f"lead_{c}"))
-    apart = links.join(lead("u"), ["k", "u"]).join(lead("v"), ["k", "v"]).select(F.col("lead_u").alias("u"), F.col("lead_v").alias("v"))
-    shared = held.join(nodes.filter("n > 1").select("k", "fp", "lead"), ["k", "fp"]).select(F.col("tid").alias("u"), F.col("lead").alias("v"))
-    edges, edges_path = materialize_at(apart.union(shared).filter("u <> v").distinct(), "simhash-links")
-    drop_path(texts.sparkSession, nodes_path)
-    roots = connected_components(edges)
-    drop_path(texts.sparkSession, edges_path)
+def _linked_texts(texts: DataFrame, radius: int, sets: int, at_once: int = 4) -> DataFrame:
+    """(node, root) of the distinct texts (tid, fps) that are linked to others: root is the least tid of the component.
+
+    The sets go through the shuffle at_once at a time, so that the disk they take does not grow with their number.
+    """
+    found, paths = None, []
+    for lo in range(0, sets, at_once):
+        held = texts.select("tid", F.posexplode(F.slice("fps", lo + 1, at_once)).alias("k", "fp"))
+        nodes, nodes_path = materialize_at(held.groupBy("k", "fp").agg(F.min("tid").alias("lead"), F.count(F.lit(1)).alias("n")), "simhash-nodes")
+        links = link_fingerprints(nodes.select("k", "fp"), radius)
+        lead = lambda c: nodes.select("k", F.col("fp").alias(c), F.col("lead").alias(f"lead_{c}"))  # noqa: B023, E731
+        apart = links.join(lead("u"), ["k", "u"]).join(lead("v"), ["k", "v"]).select(F.col("lead_u").alias("u"), F.col("lead_v").alias("v"))
+        shared = held.join(nodes.filter("n > 1").select("k", "fp", "lead"), ["k", "fp"]).select(F.col("tid").alias("u"), F.col("lead").alias("v"))
+        edges, path = materialize_at(apart.union(shared).filter("u <> v").distinct(), "simhash-links")
+        drop_path(texts.sparkSession, nodes_path)
+        found, paths = edges if found is None else found.union(edges), [*paths, path]
+    roots = connected_components(found.distinct())
+    for path in paths:
+        drop_path(texts.sparkSession, path)
     return roots
 
 
@@ -239,7 +246,9 @@ def keep_one_of_each(
     quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
     hashed = F.xxhash64(*[F.to_json(F.struct(quoted(c))) if "map<" in t else quoted(c) for c, t in docs.dtypes])
     rows, rows_path = materialize_at(fingerprints(docs, id_col, text_col, shingle, sets, [hashed]).select("doc_id", F.col("keep_0").alias("digest"), "fps", F.xxhash64("fps").alias("tid")), "simhash-rows")
-    roots = _linked_texts(rows.groupBy("tid").agg(F.first("fps").alias("fps")), radius)
+    texts, texts_path = materialize_at(rows.groupBy("tid").agg(F.first("fps").alias("fps")), "simhash-texts")
+    roots = _linked_texts(texts, radius, sets)
+    drop_path(spark, texts_path)
     placed, placed_path = materialize_at(
         rows.join(roots, rows["tid"] == roots["node"], "left").select("doc_id", "digest", F.coalesce("root", "tid").alias("grp")), "simhash-placed"
     )

@@ -13,8 +13,8 @@ from quarry.llm import quality_rules as qr
 from quarry.llm.chunks import vocabulary_path
 
 
-def brute_fingerprints(text, shingle=5, sets=4):
-    """Majority bits of the shingles' hashes and of three mixtures of them, in plain integers."""
+def brute_fingerprints(text, shingle=5, sets=12):
+    """Majority bits of the shingles' hashes and of eleven mixtures of them, in plain integers."""
     wrap = (1 << 64) - 1
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)) if w]
     grams = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))] if words else []

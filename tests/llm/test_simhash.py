@@ -140,3 +140,34 @@ def test_several_fingerprints_find_more_near_copies(spark):
     assert all(2 * i in left[4] for i in range(120)) and left[4] < left[1]
     close = [i for i, n in changed.items() if n <= 2]
     assert len([i for i in close if i not in left[4]]) > 0.8 * len(close)
+
+
+def test_recall_by_similarity(spark):
+    """Pairs of texts of 300 words, some words replaced, by the 5-word similarity of the pair: with the pipeline's twelve sets."""
+    import random
+
+    rng, pairs = random.Random(12), []
+    vocabulary = [f"w{i}" for i in range(4000)]
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    wanted = {0.8: 0.15, 0.85: 0.35, 0.9: 0.8, 0.95: 0.95}
+    for level in wanted:
+        n = 0
+        while n < 60:
+            words = [rng.choice(vocabulary) for _ in range(300)]
+            other, places = list(words), list(range(300))
+            rng.shuffle(places)
+            for at in places:
+                other[at] = rng.choice(vocabulary)
+                a, b = shingles(words), shingles(other)
+                if len(a & b) / len(a | b) < level + 0.01:
+                    break
+            if abs(len(a & b) / len(a | b) - level) <= 0.02:
+                pairs.append((level, " ".join(words), " ".join(other)))
+                n += 1
+    docs = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p[1:])], "doc_id long, text string")
+    left = {r.doc_id for r in simhash.keep_one_of_each(docs, sets=12).collect()}
+    assert {2 * i for i in range(len(pairs))} <= left
+    found = {level: [2 * i + 1 not in left for i, p in enumerate(pairs) if p[0] == level] for level in wanted}
+    shares = {level: sum(f) / len(f) for level, f in found.items()}
+    print("recall", shares)
+    assert all(shares[level] >= least for level, least in wanted.items())
