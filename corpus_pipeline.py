@@ -38,9 +38,9 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one with the least id, of each group of near copies: four fingerprints of 5-word shingles."""
+    """Keep one document, the one with the least id, of each group of near copies: twelve fingerprints of 5-word shingles."""
     small_batches(spark)
-    return simhash.keep_one_of_each(docs, shingle=5, radius=4, sets=4)
+    return simhash.keep_one_of_each(docs, shingle=5, radius=4, sets=12)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
