@@ -105,8 +105,10 @@ def _meet(fps: np.ndarray, prefix: int, prefix_bits: int, half: int) -> tuple[np
     """Links between distinct fingerprints whose variants under one prefix coincide.
 
     All fingerprints on one variant are within the radius of each other, so a star around the least of them loses
-    no connection and stays linear in the number of fingerprints.
+    no connection. Of the stars' links as many are kept as connect what they connect, so there are fewer links than
+    fingerprints, however many variants these share.
     """
+    fps = np.sort(fps)
     low = BITS - prefix_bits
     spent = np.bitwise_count((fps >> np.uint64(low)) ^ np.uint64(prefix)) if prefix_bits else np.zeros(len(fps), np.uint8)
     tails = fps & np.uint64((1 << low) - 1)
@@ -126,16 +128,34 @@ def _meet(fps: np.ndarray, prefix: int, prefix_bits: int, half: int) -> tuple[np
     same = heads[1:] == heads[:-1]
     shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
     at = (keys[shared] & np.uint64((1 << place_bits) - 1)).astype(np.int64)
-    v, f = variant[at], fps[emitter[at]]
+    v, f = variant[at], emitter[at].astype(np.int64)
     order = np.lexsort((f, v))
     v, f = v[order], f[order]
     if not len(v):
-        return f, f
+        return fps[:0], fps[:0]
     first = np.concatenate([[True], v[1:] != v[:-1]])
-    centre = f[np.flatnonzero(first)][np.cumsum(first) - 1]
-    link = centre != f
-    pairs = np.unique(np.stack([centre[link], f[link]], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    pairs = np.unique(f[np.flatnonzero(first)][np.cumsum(first) - 1] * len(fps) + f)
+    centre, other = np.divmod(pairs, len(fps))
+    kept = _spanning(centre, other, len(fps))
+    return fps[centre[kept]], fps[other[kept]]
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The places of links a - b, among n nodes, that connect all that the links connect, without a loop."""
+    root, kept, none = np.arange(n), [], np.iinfo(np.int64).max
+    while True:
+        high, low = np.maximum(root[a], root[b]), np.minimum(root[a], root[b])
+        at = np.flatnonzero(high != low)
+        if not len(at):
+            return np.concatenate(kept) if kept else at
+        # every root that a link leads down from takes one such link, the one to the least root
+        down = np.full(n, none)
+        np.minimum.at(down, high[at], low[at] * len(a) + at)
+        moved = np.flatnonzero(down < none)
+        root[moved] = down[moved] // len(a)
+        kept.append(down[moved] % len(a))
+        while not np.array_equal(further := root[root], root):
+            root = further
 
 
 def link_fingerprints(nodes: DataFrame, radius: int = 4, variants_per_task: int = 2_000_000) -> DataFrame:
@@ -177,7 +197,7 @@ def link_fingerprints(nodes: DataFrame, radius: int = 4, variants_per_task: int
         return pa.table({"k": pa.array(np.full(len(u), one("k"), np.int32)), "u": pa.array(u.view(np.int64)), "v": pa.array(v.view(np.int64))})
 
     met = dealt.groupBy("k", "more", "prefix").applyInArrow(run, "k int, u long, v long")
-    return met.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).distinct()
+    return met.distinct()
 
 
 def near_duplicates(
@@ -201,7 +221,7 @@ def near_duplicates(
     )
 
 
-def _linked_texts(texts: DataFrame, radius: int, sets: int, at_once: int = 4) -> DataFrame:
+def _linked_texts(texts: DataFrame, radius: int, sets: int, at_once: int = 2) -> DataFrame:
     """(node, root) of the distinct texts (tid, fps) that are linked to others: root is the least tid of the component.
 
     The sets go through the shuffle at_once at a time, so that the disk they take does not grow with their number.

@@ -171,3 +171,19 @@ def test_recall_by_similarity(spark):
     shares = {level: sum(f) / len(f) for level, f in found.items()}
     print("recall", shares)
     assert all(shares[level] >= least for level, least in wanted.items())
+
+
+def test_spanning_links_connect_the_same_without_loops():
+    rng = np.random.default_rng(5)
+    for n, m in ((1, 0), (2, 1), (30, 20), (40, 200), (200, 190)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        kept = simhash._spanning(a, b, n)
+
+        def parts(places):
+            root = list(range(n))
+            for i in places:
+                x, y = root[a[i]], root[b[i]]
+                root = [min(x, y) if r in (x, y) else r for r in root]
+            return root
+
+        assert parts(range(m)) == parts(kept) and len(kept) == n - len(set(parts(range(m))))
