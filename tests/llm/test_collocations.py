@@ -75,7 +75,7 @@ def test_a_long_text_and_none(spark):
     assert run(spark, []) == [] and run(spark, [(None, None)]) == []
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.text(alphabet="aB .,\n\tß", max_size=40), st.sampled_from(["en", None])), max_size=12))
 def test_any_texts(spark, docs):
     assert run(spark, docs, least=2) == sorted(brute(docs, least=2))

@@ -112,7 +112,7 @@ def test_a_text_over_the_budget_takes_nothing_from_others(spark):
     rows = [(i, f"word{i} good{i % 7} " * 20) for i in range(40)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, grade int")
     weights = lambda some, **options: oq.train(spark.createDataFrame(some, "doc_id long, text string"), labels, F.col("grade"), 2, **options).weights
-    for long in range(3):  # wherever it comes in the hash order
+    for long in range(2):  # wherever it comes in the hash order
         others = [r for r in rows if r[0] != long]
         got = weights([(long, "much " * 3000), *others], train_words=2000)
         assert np.count_nonzero(got) > 100 and (got == weights(others, train_words=2000)).all()
