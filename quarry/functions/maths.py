@@ -48,3 +48,28 @@ def relevance(tasks: Column, other_tasks: Column, keywords: Column, other_keywor
     named = F.when((a != "") & (b != "") & (F.contains(a, b) | F.contains(b, a)), 0.1).otherwise(0.0)
     alike = F.when((licence != "") & (other_licence != "") & (is_open(licence) == is_open(other_licence)), 0.05).otherwise(0.0)
     return F.least(0.4 * overlap(tasks, other_tasks) + 0.25 * overlap(keywords, other_keywords) + named + alike, F.lit(1.0))
+
+
+def scaled_half_even(x: Column, digits: int) -> Column:
+    """The whole number nearest to x * 10^digits, as a double; a tie, which only an exact one is, goes to the even number.
+
+    x is taken for what its bits say: 2.675 lies below its decimal text, so it gives 267. The product with 2 * 10^digits
+    is split into its rounded value and what rounding lost (two halves of x, each with an exact product), so the side of
+    the half-way point is known exactly. For digits up to 7, x beyond 1e-280 or zero, and x * 10^digits up to 2^53.
+    """
+    twice = 2.0 * 10**digits
+    size = F.abs(x)
+    spread = size * F.lit(134217729.0)  # 2^27 + 1
+    high = spread - (spread - size)
+    product = size * F.lit(twice)
+    lost = (high * F.lit(twice) - product) + (size - high) * F.lit(twice)
+    below = F.floor(product / 2).cast("double")
+    side = ((product - below * 2) - 1) + lost
+    nearest = below + F.when((side > 0) | ((side == 0) & (below % 2 == 1)), 1.0).otherwise(0.0)
+    return F.when(x < 0, -nearest).otherwise(nearest)
+
+
+def round_binary(x: Column, digits: int) -> Column:
+    """x rounded to decimals by its exact value, ties to even. Too large to have such decimals, not finite, null: as it is."""
+    fits = F.abs(x) * F.lit(10.0**digits) < F.lit(2.0**53)
+    return F.when(fits & ~F.isnan(x), scaled_half_even(x, digits) / F.lit(10.0**digits)).otherwise(x)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions.maths import scaled_half_even
+
 Strings = "array<string>"
 
 
@@ -72,6 +74,21 @@ def format_count(value: Column) -> Column:
     return out
 
 
+def count_label(value: Column) -> Column:
+    """A parameter count with T, B, M or K and at most two decimals, no trailing zeros, by the quotient's exact value.
+
+    1005 is 1K, as the double nearest to 1.005 lies below it; exact ties go to even. Null stays null, counts under 1000
+    stay plain. For counts below 10^16; from there on the label has two decimals all the same.
+    """
+    out = value.cast("string")
+    for power, unit in ((3, "K"), (6, "M"), (9, "B"), (12, "T")):
+        hundredths = scaled_half_even(value.cast("double") / F.lit(10.0**power), 2).cast("decimal(20,0)")
+        part = (hundredths / F.lit(100).cast("decimal(3,0)")).cast("decimal(20,2)").cast("string")
+        trimmed = F.regexp_replace(F.regexp_replace(part, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        out = F.when(value >= 10**power, F.concat(trimmed, F.lit(unit))).otherwise(out)
+    return out
+
+
 def scaled_number(text: Column) -> Column:
     """12.3K -> 12300: the number with its K, M or B factor; null if there is none."""
     number = F.nullif(F.regexp_extract(F.replace(text, F.lit(","), F.lit("")), r"(\d+(?:\.\d+)?)", 1), F.lit("")).try_cast("double")
@@ -249,8 +266,8 @@ def parameter_labels(counts: Column, total: Column, model: Column) -> Column:
 
     counts and total are null where a record has no weights metadata; a total of 0 has no label.
     """
-    by_kind = F.when(F.size(counts) > 0, F.transform_values(counts, lambda _, v: format_count(v)))
-    whole = F.when(total.isNotNull(), F.create_map(F.lit("total"), F.when(total > 0, format_count(total))))
+    by_kind = F.when(F.size(counts) > 0, F.transform_values(counts, lambda _, v: count_label(v)))
+    whole = F.when(total.isNotNull(), F.create_map(F.lit("total"), F.when(total > 0, count_label(total))))
     named = F.when(size_label(model).isNotNull(), F.create_map(F.lit("total"), size_label(model)))
     return F.coalesce(by_kind, whole, named)
 
