@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog import register
 from quarry.functions import maths, text
-from quarry.operators import headings, triples, turtle, wildcards
+from quarry.operators import facetmap, headings, triples, turtle, wildcards
 from quarry.plans.record_queries import _order_counts
 from quarry.plans.relevance_queries import _index
 from quarry.session import scratch, table
@@ -160,3 +160,23 @@ def rounded_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parameter_count_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders' counts with labels rounded by the quotient's bits."""
     return _order_counts(spark, sf_dir).select("o_orderkey", text.count_label(F.col("v")).alias("label"))
+
+
+_FACETS = {"mlTask": "p_type", "sharedBy": "p_brand", "keywords": "p_name"}
+
+
+@register(
+    "facet_mapper",
+    r"""WITH v AS (SELECT lower(value) AS phrase, arg_min(facet, (place, value)) AS facet, arg_min(value, (place, value)) AS value FROM
+      (SELECT 0 AS place, 'mlTask' AS facet, p_type AS value FROM part UNION SELECT 1, 'sharedBy', replace(p_brand, '#', ' ') FROM part UNION SELECT 2, 'keywords', p_name FROM part) GROUP BY 1),
+    q AS (SELECT p_partkey AS k, lower(p_type) AS a, lower(p_name) AS b, lower(replace(p_brand, '#', ' ')) AS c FROM part),
+    e AS (SELECT k, unnest([a, b, c]) AS phrase FROM q)
+    SELECT k AS p_partkey, string_agg(DISTINCT facet || '=' || value, '|' ORDER BY facet || '=' || value) AS found, 'find,with,bolted-on,big,widgets' AS terms FROM e JOIN v USING (phrase) GROUP BY k""",
+)
+def facet_mapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question about every part, its type, name and brand found again among the values of all parts."""
+    parts = table(spark, sf_dir, "part").withColumn("p_brand", F.replace("p_brand", F.lit("#"), F.lit(" ")))
+    asked = F.concat(F.lit("Find "), "p_type", F.lit(" models with bolted-on "), F.upper("p_name"), F.lit(", big "), F.lower("p_brand"), F.lit(" widgets of mltask."))
+    found = facetmap.map_queries(parts.select("p_partkey", asked.alias("asked")), "p_partkey", "asked", facetmap.facet_values(parts, _FACETS))
+    pairs = F.array_sort(F.transform("facet_values", lambda v: F.concat(v["facet"], F.lit("="), v["value"])))
+    return found.select(F.col("id").alias("p_partkey"), F.array_join(pairs, "|").alias("found"), F.array_join("terms", ",").alias("terms"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions import maths, text
-from quarry.operators import headings, triples, turtle, wildcards
+from quarry.operators import facetmap, headings, triples, turtle, wildcards
 from quarry.sources import backfill
 
 # --- headed links ---
@@ -213,3 +213,36 @@ def test_count_labels_equal_plain_python(spark):
     ns = [0, 1, 999, 1000, 1005, 1015, 2675000, 999999, 999995, 1005000000, 10**15 + 5 * 10**9] + [rng.randrange(1, 10 ** rng.randint(1, 15)) for _ in range(2000)] + [rng.randrange(1, 200000) * 5 for _ in range(1000)]
     for r in spark.createDataFrame([(n,) for n in ns], "n long").select("n", text.count_label(F.col("n")).alias("s")).collect():
         assert r.s == label(r.n)
+
+
+# --- facets of queries ---
+
+
+def test_facets_equal_plain_python(spark):
+    rng = random.Random(4)
+    vocabulary = ["image", "classification", "image-net", "text", "to", "speech", "the", "apache-2.0", "models", "license", "bert", "x"]
+    values = {"task": ["image classification", "text to speech", "speech", "Image"], "license": ["Apache-2.0", "speech"], "keywords": ["classification text", "bert", "", None]}
+    rows = [(f, v) for f, vs in values.items() for v in vs]
+    df = spark.createDataFrame([(v if f == "task" else None, v if f == "license" else None, v if f == "keywords" else None) for f, v in rows], "a string, b string, phrase string")
+    known = {}
+    for f, v in rows:
+        if v:
+            known.setdefault(v.lower(), (f, v))
+
+    def brute(said):
+        words, i, found, terms = (said or "").lower().split(), 0, set(), []
+        while i < len(words):
+            n = next((n for n in range(len(words) - i, 0, -1) if " ".join(words[i : i + n]) in known), 0)
+            if n:
+                found.add(known[" ".join(words[i : i + n])])
+            elif len(words[i]) > 2 and words[i] not in ("models", "license", "task", "keywords") and words[i] not in terms:
+                terms.append(words[i])
+            i += n or 1
+        return sorted(found), terms
+
+    asked = [" ".join(rng.choices(vocabulary, k=rng.randint(0, 12))) for _ in range(300)] + [None, "", "IMAGE Classification"]
+    queries = spark.createDataFrame(list(enumerate(asked)), "k int, words string")
+    got = facetmap.map_queries(queries, "k", "words", facetmap.facet_values(df, {"task": "a", "license": "b", "keywords": "phrase"})).collect()
+    assert {r.id: ([tuple(v) for v in r.facet_values], r.terms) for r in got} == {i: brute(s) for i, s in enumerate(asked)}
+    none = facetmap.map_queries(queries, "k", "words", facetmap.facet_values(df.limit(0), {"task": "a"})).collect()
+    assert len(none) == len(asked) and not any(r.facet_values for r in none)
