@@ -23,16 +23,18 @@ def tagged(name: str, key: str, value: str):
     return lambda v: F.struct(F.lit(name).alias(key), v.alias(value))
 
 
-def to_triples(df: DataFrame, subject: str, predicates: dict[str, str], kind: str | None = None) -> DataFrame:
+def to_triples(df: DataFrame, subject: str, predicates: dict[str, str], kind: str | None = None, repeats: bool = False) -> DataFrame:
     """(s, p, o, o_is_iri), each once: one for every object of every mapped column, and the type if given.
 
-    One scan and one explode for all predicates; duplicates are merged on the map side before the shuffle.
+    One scan and one explode for all predicates; duplicates are merged on the map side before the shuffle. With repeats
+    they stay and nothing is shuffled, for a sink that merges them itself.
     """
     maps = [F.transform(objects(df, c), tagged(p, "p", "o")) for c, p in predicates.items()]
     if kind:
         maps.append(F.array(F.struct(F.lit("http://www.w3.org/1999/02/22-rdf-syntax-ns#type").alias("p"), F.lit(kind).alias("o"))))
     out = df.select(F.col(subject).cast("string").alias("s"), F.explode(F.flatten(F.array(*maps))).alias("t")).select("s", "t.p", "t.o")
-    return out.withColumn("o_is_iri", is_iri(F.col("o"))).distinct()
+    out = out.withColumn("o_is_iri", is_iri(F.col("o")))
+    return out if repeats else out.distinct()
 
 
 def to_documents(triples: DataFrame) -> DataFrame:

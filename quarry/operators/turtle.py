@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of triples in a file, about.
@@ -56,26 +56,32 @@ def write_turtle(triples: DataFrame, path: str, file_bytes: int = FILE_BYTES, mo
     """Triples (s, p, o, o_is_iri) as Turtle files in a new folder, each triple once.
 
     A triple with a null is left out; an empty table gives files without triples. Other columns are ignored. A literal
-    of any length is one line of its file, whatever the file's size.
+    of any length is one line of its file, whatever the file's size. The triples are gone over twice: for their bytes and
+    namespaces in one pass, and for the files; equal triples meet in one file, side by side, so they need no other shuffle.
     """
-    own = triples.select("s", "p", "o", "o_is_iri").filter("s IS NOT NULL AND p IS NOT NULL AND o IS NOT NULL AND o_is_iri IS NOT NULL").distinct()
-    size = own.agg(F.sum(F.octet_length("s") + F.octet_length("p") + F.octet_length("o"))).first()[0] or 0
-    prefixes = namespaces(own, most)
+    own = triples.select("s", "p", "o", "o_is_iri").filter("s IS NOT NULL AND p IS NOT NULL AND o IS NOT NULL AND o_is_iri IS NOT NULL")
+    total = F.sum(F.octet_length("s") + F.octet_length("p") + F.octet_length("o")).alias("bytes")
+    measured = Observation()
+    prefixes = namespaces(own.observe(measured, total), most)
+    # a plan that is empty from the start is not observed
+    size = (measured.get["bytes"] if prefixes else own.agg(total).first()["bytes"]) or 0
     header = "\n".join(f"@prefix {p}: {_header_iri(ns)} ." for p, ns in prefixes)
 
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        subject = predicate = None
+        subject = predicate = obj = None
         for batch in batches:
-            if batch.empty:
-                continue
             same_s = batch.s == batch.s.shift(fill_value=subject or "")
             same_p = same_s & (batch.p == batch.p.shift(fill_value=predicate or ""))
+            new = ~(same_p & (batch.o == batch.o.shift(fill_value=obj or "")))
+            batch, same_s, same_p = batch[new], same_s[new], same_p[new]
+            if batch.empty:
+                continue
             text = "  , " + batch.o
             text = text.where(same_p, "; " + batch.p + " " + batch.o)
             text = text.where(same_s, ".\n" + batch.s + " " + batch.p + " " + batch.o)
             if subject is None:
                 text.iloc[0] = header + text.iloc[0][1:]
-            subject, predicate = batch.s.iloc[-1], batch.p.iloc[-1]
+            subject, predicate, obj = batch.s.iloc[-1], batch.p.iloc[-1], batch.o.iloc[-1]
             yield pd.DataFrame({"value": text})
         if subject is not None:
             yield pd.DataFrame({"value": ["."]})

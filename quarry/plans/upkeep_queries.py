@@ -92,7 +92,7 @@ def turtle_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         F.concat(F.lit(_D + "d"), "doc_id").alias("s"), "text", "lang", F.concat(F.lit(_S), "source").alias("author"), F.concat(F.lit("https://pages.example/"), "doc_id").alias("url")
     )
-    kept = triples.to_triples(docs, "s", {"text": _S + "abstract", "lang": _S + "inLanguage", "author": _S + "author", "url": _S + "url"}, kind=_S + "CreativeWork")
+    kept = triples.to_triples(docs, "s", {"text": _S + "abstract", "lang": _S + "inLanguage", "author": _S + "author", "url": _S + "url"}, kind=_S + "CreativeWork", repeats=True)
     path = scratch(spark, "turtle")
     turtle.write_turtle(kept, path)
     return turtle.read_turtle(spark, path)
