@@ -1,6 +1,6 @@
 """Turtle files: triples grouped by subject and predicate, with prefixes learned from the triples, and back.
 
-Triples are range partitioned by subject, predicate and object, and each file is written as its sorted rows come. A subject
+Triples are range partitioned by subject, predicate and a hash of the object, and each file is written as its sorted rows come. A subject
 with very many triples is cut at a file's end and begins again in the next one, so no group is held anywhere. Every file
 begins with the same prefixes and can be read by itself.
 """
@@ -87,8 +87,10 @@ def write_turtle(triples: DataFrame, path: str, file_bytes: int = FILE_BYTES, mo
             yield pd.DataFrame({"value": ["."]})
 
     said = own.select(_iri(F.col("s"), prefixes).alias("s"), _iri(F.col("p"), prefixes).alias("p"), F.when(F.col("o_is_iri"), _iri(F.col("o"), prefixes)).otherwise(_literal(F.col("o"))).alias("o"))
-    cut = said.repartitionByRange(max(1, -(-size // file_bytes)), "s", "p", "o").sortWithinPartitions("s", "p", "o")
-    cut.mapInPandas(lines, "value string").write.text(path)
+    # ranges are cut by a hash of the object, as a sample of the cutting columns goes to the driver
+    keyed = said.withColumn("h", F.xxhash64("o"))
+    cut = keyed.repartitionByRange(max(1, -(-size // file_bytes)), "s", "p", "h").sortWithinPartitions("s", "p", "h", "o")
+    cut.drop("h").mapInPandas(lines, "value string").write.text(path)
 
 
 def _header_iri(iri: str) -> str:
