@@ -22,4 +22,4 @@ def register(name: str, sql: str | None = None):
     return add
 
 
-from quarry.plans import card_queries, catalogue_queries, detail_queries, field_queries, graph_queries, language_queries, record_queries, relevance_queries, search_queries, upkeep_queries, view_queries  # noqa: E402,F401
+from quarry.plans import answer_queries, card_queries, catalogue_queries, detail_queries, field_queries, graph_queries, language_queries, record_queries, relevance_queries, search_queries, upkeep_queries, view_queries  # noqa: E402,F401

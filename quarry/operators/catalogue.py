@@ -190,11 +190,15 @@ def model_detail(docs: DataFrame, edges: DataFrame, iri: str) -> DataFrame:
     return docs.filter(F.col("iri") == iri).orderBy("model_id").limit(1).join(F.broadcast(as_map))  # one row each
 
 
+def named_states(own: DataFrame, names: DataFrame) -> DataFrame:
+    """One model's snapshots at each of its changes, with `moment` and `v_name`, the value by name."""
+    states = temporal.history(own, "model_uri").withColumn("v", F.coalesce("value", "value_uri"))
+    return records.lookup(states, "v", names, "iri", "name", "v_name")
+
+
 def history_with_entities(store: DataFrame, names: DataFrame, model: str) -> DataFrame:
     """(moment, predicate_iri, values): a model's states at each of its changes, newest first, values by name."""
-    own = store.filter(F.col("model_uri") == model)
-    states = temporal.history(own, "model_uri").withColumn("v", F.coalesce("value", "value_uri"))
-    named = records.lookup(states, "v", names, "iri", "name", "v_name")
+    named = named_states(store.filter(F.col("model_uri") == model), names)
     out = named.groupBy("moment", "predicate_iri").agg(F.array_sort(F.collect_set("v_name")).alias("values"))
     return out.orderBy(F.desc("moment"), "predicate_iri")
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType
 from quarry.operators.graph import page_after
 
 
-def _values(df: DataFrame, name: str) -> Column:
+def values(df: DataFrame, name: str) -> Column:
     """A facet column as an array, so scalar and multi-valued facets are handled alike."""
     if isinstance(df.schema[name].dataType, ArrayType):
         return F.coalesce(F.array_distinct(F.col(name).cast("array<string>")), F.array().cast("array<string>"))
@@ -47,7 +47,7 @@ def facet_counts(df: DataFrame, facets: list[str], size: int = 10) -> DataFrame:
     One explode over the facet columns feeds one partial-then-final aggregation on (facet, value); the rank
     runs over the counted values only. Order: count descending, then value.
     """
-    pairs = F.flatten(F.array(*[F.transform(_values(df, f), _named(f, "facet", "value")) for f in facets]))
+    pairs = F.flatten(F.array(*[F.transform(values(df, f), _named(f, "facet", "value")) for f in facets]))
     counted = (
         df.select(F.explode(pairs).alias("p")).groupBy("p.facet", "p.value").agg(F.count(F.lit(1)).alias("n"))
     )
@@ -60,22 +60,22 @@ def facet_counts_in_context(df: DataFrame, filters: dict[str, list[str]]) -> Dat
     parts = []
     for name in filters:
         others = {k: v for k, v in filters.items() if k != name}
-        rows = filter_all(df, others).select(F.explode(_values(df, name)).alias("value"))
+        rows = filter_all(df, others).select(F.explode(values(df, name)).alias("value"))
         parts.append(rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("facet"), "value", "n"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def facet_page(df: DataFrame, facet: str, after: str | None, size: int) -> DataFrame:
     """(value, n, has_more): a page of a facet's values in order, behind a key."""
-    values = df.select(F.explode(_values(df, facet)).alias("value"))
-    counted = (values.filter(F.col("value") > F.lit(after)) if after is not None else values).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    rows = df.select(F.explode(values(df, facet)).alias("value"))
+    counted = (rows.filter(F.col("value") > F.lit(after)) if after is not None else rows).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     return page_after(counted, "value", None, size)
 
 
 def facet_search(df: DataFrame, facet: str, term: str, size: int, case_insensitive: bool = False) -> DataFrame:
     """(value, n): the commonest values that contain the lower-cased term."""
     value = F.lower("value") if case_insensitive else F.col("value")
-    rows = df.select(F.explode(_values(df, facet)).alias("value")).filter(F.contains(value, F.lit(term.lower())))
+    rows = df.select(F.explode(values(df, facet)).alias("value")).filter(F.contains(value, F.lit(term.lower())))
     return rows.groupBy("value").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value").limit(size)
 
 
@@ -86,21 +86,31 @@ def month_histogram(df: DataFrame, column: str) -> DataFrame:
     return span.join(counted, "m", "left").select(F.date_format("m", "yyyy-MM-dd").alias("month"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def exact_medians(df: DataFrame, key: str, value: str, buckets: int = 1024) -> DataFrame:
+#: Where exact_medians cuts a key's values, in parts of them; about a thousandth of them is ranked.
+MEDIAN_CUTS = (0.1, 0.4, 0.49, 0.4995, 0.5005, 0.51, 0.6, 0.9)
+
+
+def exact_medians(df: DataFrame, key: str, value: str, cuts: tuple[float, ...] = MEDIAN_CUTS) -> DataFrame:
     """(key, median) without a group's values in one task.
 
-    Values are counted in equal ranges between a key's least and greatest; running sums over the ranges (a few numbers
-    a key) show which hold the middle ranks, and only the rows in those are ranked.
+    Approximate quantiles of a key cut its values into ranges, so that outliers move no cut. Equal values are counted first;
+    exact sums over the ranges (a few numbers a key) show which of them hold the middle ranks, and only the distinct values
+    in those are ranked. The quantiles only choose the ranges: the median is exact whatever they are. Nulls do not count,
+    NaN is the greatest value, a key without values has no row.
     """
     rows = df.select(F.col(key).alias("__k"), F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    span = rows.groupBy("__k").agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"), F.count(F.lit(1)).alias("all"))
-    at = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
-    placed = rows.join(span, "__k").withColumn("b", at.cast("int"))
-    counted = placed.groupBy("__k", "all", "b").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("__k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = rows.groupBy("__k", "__v").agg(F.count(F.lit(1)).alias("n"))
+    quantiles = rows.groupBy("__k").agg(F.percentile_approx("__v", list(cuts), 10_000).alias("cuts"), F.count(F.lit(1)).alias("all"))
+    at = sum(((F.col("__v") > F.get("cuts", i)).cast("int") for i in range(len(cuts))), F.lit(0))
+    same = F.col("__k").eqNullSafe(F.col("__key"))
+    placed = counted.join(quantiles.withColumnRenamed("__k", "__key"), same).drop("__key").withColumn("b", at)
+    ranges = placed.groupBy("__k", "all", "b").agg(F.sum("n").alias("held"))
+    before = F.coalesce(F.sum("held").over(Window.partitionBy("__k").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first, second = F.floor((F.col("all") + 1) / 2), F.floor((F.col("all") + 2) / 2)
-    holds = ((F.col("before") < first) & (first <= F.col("before") + F.col("n"))) | ((F.col("before") < second) & (second <= F.col("before") + F.col("n")))
-    middle = counted.withColumn("before", before).filter(holds).select("__k", "b", "before")
-    rank = F.row_number().over(Window.partitionBy("__k", "b").orderBy("__v")) + F.col("before")
-    ranked = placed.join(middle, ["__k", "b"]).withColumn("rank", rank)
-    return ranked.filter((F.col("rank") == first) | (F.col("rank") == second)).groupBy(F.col("__k").alias(key)).agg(F.avg("__v").alias("median"))
+    holds = ((F.col("before") < first) & (first <= F.col("before") + F.col("held"))) | ((F.col("before") < second) & (second <= F.col("before") + F.col("held")))
+    middle = ranges.withColumn("before", before).filter(holds).select(F.col("__k").alias("__key"), F.col("b").alias("__b"), "before")
+    upto = F.sum("n").over(Window.partitionBy("__k", "b").orderBy("__v")) + F.col("before")
+    ranked = placed.join(middle, same & (F.col("b") == F.col("__b"))).withColumn("upto", upto).withColumn("under", F.col("upto") - F.col("n"))
+    has = lambda rank: ((F.col("under") < rank) & (rank <= F.col("upto"))).cast("int")
+    hit = ranked.withColumn("times", has(first) + has(second)).filter("times > 0")
+    return hit.groupBy(F.col("__k").alias(key)).agg((F.sum(F.col("__v") * F.col("times")) / 2).alias("median"))
