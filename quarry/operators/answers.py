@@ -30,14 +30,13 @@ def models_of(edges: DataFrame, nodes: DataFrame, entity: DataFrame, label: str,
     into = edges.join(one, F.col("dst") == F.col("__id")).select(F.col("src").alias("model"), "rel")
     out_of = edges.join(one, F.col("src") == F.col("__id")).select(F.col("dst").alias("model"), "rel")
     linked = into.unionByName(out_of).groupBy("model").agg(F.min("rel").alias("rel"))
-    found = linked.join(nodes.filter(F.col("label") == label).select(F.col("id").alias("model"), "name"), "model")
+    # written once, as the total and the page read it: two readers of the plan would each scan the edges
+    found = cut_lineage(linked.join(nodes.filter(F.col("label") == label).select(F.col("id").alias("model"), "name"), "model"))
     order = [F.coalesce("name", "model"), F.col("model")]
     shown = found.orderBy(*order).offset(max(offset, 0))
     bounded = limit is not None and limit >= 0
     shown = shown.limit(limit) if bounded else shown
-    # the total reads `rel` too, so that both branches share the shuffle of the linked models
-    total = found.agg(F.count(F.struct("rel")).alias("total"))
-    page = cut_lineage(shown.join(F.broadcast(total)))  # one row
+    page = shown.join(F.broadcast(found.agg(F.count(F.lit(1)).alias("total"))))  # one row
     keys = page.select(F.col("model").alias("src"))
     own = edges.filter(F.col("rel").isin(*card_rels)).join(F.broadcast(keys) if bounded else keys, "src", "left_semi")  # a page
     by_rel = own.groupBy("src", "rel").agg(F.array_sort(F.collect_set("dst")).alias("targets"))
