@@ -1,7 +1,8 @@
 """Facets of free-text queries: the longest phrases of a query that are values of a facet, and the words that are left.
 
 A query's runs of words, up to the longest value's number, meet the values in one equi join; which of them count is then
-decided in the query's own row. Without a tagger every left word counts as a term.
+decided in the query's own row. Values of a few MB are broadcast, others are shuffled with the runs; the runs themselves, many
+times the queries, are never broadcast, however small the queries' file looks. Without a tagger every left word counts as a term.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Words that say nothing of what is sought.
 TRIVIAL = ("model", "models", "task", "tasks", "dataset", "datasets", "example")
+#: Values of up to so many bytes are broadcast.
+BROADCAST_BYTES = 16 << 20
 _WORD = r"[\p{L}\p{N}]+(?:[.+_-][\p{L}\p{N}]+)*"
 
 
@@ -36,15 +39,18 @@ def map_queries(queries: DataFrame, id_col: str, text_col: str, values: DataFram
     more than two characters and are neither trivial nor a facet's name, each once. Every row of the queries has one row;
     a null or empty text has neither values nor terms. ids must be unique. A query's words are in one row.
     """
-    facts = values.agg(F.max(F.size(F.split("phrase", " "))).alias("longest"), F.collect_set("facet").alias("facets")).first()
-    longest, names = facts["longest"] or 0, sorted(facts["facets"])  # one number and the facets' names
-    own = queries.select(F.col(id_col).alias("id"), words_in_order(F.col(text_col)).alias("words"))
+    weight = F.sum(F.octet_length("phrase") + F.octet_length("value") + F.octet_length("facet") + 64)
+    facts = values.agg(F.max(F.size(F.split("phrase", " "))).alias("longest"), F.collect_set("facet").alias("facets"), weight.alias("bytes")).first()
+    longest, names = facts["longest"] or 0, sorted(facts["facets"])  # two numbers and the facets' names
+    sought = F.broadcast(values) if (facts["bytes"] or 0) <= BROADCAST_BYTES else values.hint("merge")
+    # dealt out by id first: a small file of queries is few tasks, and its runs are many rows
+    own = queries.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).repartition("id").select("id", words_in_order(F.col("text")).alias("words"))
     at = F.sequence(F.lit(1), F.size("words"))
     runs = own.filter(F.size("words") > 0).select("id", "words", F.explode(at).alias("start"))
     runs = runs.select("id", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), F.size("words") - F.col("start") + 1))).alias("n"), "words")
     runs = runs.select("id", "start", "n", F.array_join(F.slice("words", F.col("start"), F.col("n")), " ").alias("phrase"))
     # of the matches at a word only the longest can count: the others do not go into the row
-    best = runs.join(values, "phrase").groupBy("id", "start").agg(F.max(F.struct("n", "facet", "value")).alias("best"))
+    best = runs.join(sought, "phrase").groupBy("id", "start").agg(F.max(F.struct("n", "facet", "value")).alias("best"))
     met = best.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "best.n", "best.facet", "best.value"))).alias("met"))
     none = F.array().cast("array<struct<start:int,n:int,facet:string,value:string>>")
     free = F.aggregate(
@@ -54,7 +60,7 @@ def map_queries(queries: DataFrame, id_col: str, text_col: str, values: DataFram
         lambda s: s["kept"],
     )
     kept = met.select("id", free.alias("kept"))
-    out = own.join(kept, "id", "left").withColumn("kept", F.coalesce("kept", none))
+    out = own.join(kept.hint("merge"), "id", "left").withColumn("kept", F.coalesce("kept", none))
     used = F.flatten(F.transform("kept", lambda k: F.sequence(k["start"], k["start"] + k["n"] - 1)))
     left = F.array_except(F.sequence(F.lit(1), F.size("words")), used)
     terms = F.array_distinct(F.transform(F.when(F.size("words") > 0, left).otherwise(F.array().cast("array<int>")), lambda i: F.get("words", i - 1)))

@@ -246,3 +246,14 @@ def test_facets_equal_plain_python(spark):
     assert {r.id: ([tuple(v) for v in r.facet_values], r.terms) for r in got} == {i: brute(s) for i, s in enumerate(asked)}
     none = facetmap.map_queries(queries, "k", "words", facetmap.facet_values(df.limit(0), {"task": "a"})).collect()
     assert len(none) == len(asked) and not any(r.facet_values for r in none)
+
+
+def test_runs_of_words_are_not_broadcast(spark, tmp_path):
+    """The runs of a small file of queries are many rows: the values are the side that is broadcast, or none is."""
+    spark.createDataFrame([(i, "big red models") for i in range(50)], "k int, words string").write.parquet(str(tmp_path / "q"))
+    spark.createDataFrame([("big red", "task", "Big red")], "phrase string, facet string, value string").write.parquet(str(tmp_path / "v"))
+    queries, values = spark.read.parquet(str(tmp_path / "q")), spark.read.parquet(str(tmp_path / "v"))
+    plan = facetmap.map_queries(queries, "k", "words", values)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and sum("BroadcastHashJoin" in j for j in joins) == 1
+    assert next("BuildRight" in j and "phrase" in j for j in joins if "Broadcast" in j)
