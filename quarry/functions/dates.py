@@ -21,8 +21,8 @@ def xsd_datetime(value: Column) -> Column:
 
 
 def epoch_date(seconds: Column) -> Column:
-    """The UTC day of an epoch second."""
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd")
+    """The UTC day of an epoch second; years beyond 9999 have their digits and no sign, as years before them."""
+    return F.ltrim(F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd"), F.lit("+"))
 
 
 def display_date(value: Column) -> Column:

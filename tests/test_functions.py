@@ -131,3 +131,9 @@ def test_relevance(spark):
     got = one(spark, maths.relevance(a("t", "u"), a("t"), a("k"), a("k"), F.lit("BERT"), F.lit("bert-base"), F.lit("MIT"), F.lit("Apache-2.0")))
     assert abs(got - (0.2 + 0.25 + 0.1 + 0.05)) < 1e-12
     assert one(spark, maths.cosine(a(1.0, 0.0), a(0.0, 0.0))) is None
+
+
+def test_epoch_days_beyond_four_digits_have_no_sign(spark):
+    seconds = [0, -86400, 253402300799, 253402300800, 518400000000]
+    got = [r.d for r in spark.createDataFrame([(s,) for s in seconds], "s long").select(dates.epoch_date(F.col("s")).alias("d")).collect()]
+    assert got == ["1970-01-01", "1969-12-31", "9999-12-31", "10000-01-01", "18397-06-11"]
