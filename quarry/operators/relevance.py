@@ -2,8 +2,9 @@
 
 The index is three tables: postings (term, field, doc, tf, len), terms (term, field, df) and fields (field, n_docs,
 avg_len). Postings are written in the order of their terms, so a query's filter on its terms prunes files and row
-groups; a frequent term's postings are spread over several files by document. A fourth, `deletions` (part, term), holds what is
-left of each term when up to two characters are deleted, so that terms within two edits meet in an equi join.
+groups; a frequent term's postings are spread over several files by document. A fourth, `deletions` (part, term), lets terms
+within two edits meet in an equi join: it holds what is left of a short term when up to two characters are deleted, and three
+segments of a longer one, of which two edits leave one as it is. So a term has a bounded number of parts, however long it is.
 
 Scoring groups a query's postings by document, once, and keeps the best of each partition before they are merged. The numbers
 of terms and fields of one query are small constants of its plan.
@@ -18,11 +19,13 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75
 DIGITS = 6
+#: Up to so many characters a term is found by deletions (22 parts at most), above by its three segments.
+SHORT = 6
 
 
 def words_of(text: Column) -> Column:
@@ -53,20 +56,24 @@ class Index:
 
 def build(docs: DataFrame, id_col: str, fields: dict[str, Column], path: str) -> Index:
     """Write the index of the documents' fields under a path, and read it back."""
-    each = F.inline(F.array(*[F.struct(F.lit(n).alias("field"), words_of(c).alias("words")) for n, c in fields.items()]))
-    long = docs.select(F.col(id_col).alias("doc"), each).filter(F.size("words") > 0)
-    # the words of one row are summed in its own task, before they are shuffled
-    counted = long.select("doc", "field", F.explode("words").alias("term")).groupBy("doc", "field", "term").agg(F.count(F.lit(1)).alias("tf"))
-    lengths = long.groupBy("doc", "field").agg(F.sum(F.size("words")).alias("len"))
-    postings = counted.join(lengths, ["doc", "field"])
-    ordered = postings.repartitionByRange("term", "field", "doc").sortWithinPartitions("term", "field", "doc")
-    ordered.write.parquet(f"{path}/postings")
+    spoken = [F.struct(F.lit(n).alias("field"), words_of(F.col(f"f{i}")).alias("words")) for i, n in enumerate(fields)]
+    # the texts go to their ids once: what is counted of a document afterwards, many rows, stays in its task
+    dealt = docs.select(F.col(id_col).alias("doc"), *[c.cast("string").alias(f"f{i}") for i, c in enumerate(fields.values())]).repartition("doc")
+    long = dealt.select("doc", F.inline(F.array(*spoken))).filter(F.size("words") > 0)
+    whole = long.withColumn("len", F.sum(F.size("words")).over(Window.partitionBy("doc", "field")))  # the rows of one id
+    counted = whole.select("doc", "field", "len", F.explode("words").alias("term")).groupBy("doc", "field", "len", "term").agg(F.count(F.lit(1)).alias("tf"))
+    # written before they are put in order: a range shuffle runs what lies before it twice, once for its bounds
+    counted.write.parquet(f"{path}/counts")
     spark = docs.sparkSession
+    counts = spark.read.parquet(f"{path}/counts")
+    ordered = counts.select("doc", "field", "term", "tf", "len").repartitionByRange("term", "field", "doc").sortWithinPartitions("term", "field", "doc")
+    ordered.write.parquet(f"{path}/postings")
     postings = spark.read.parquet(f"{path}/postings")
     postings.groupBy("term", "field").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
+    lengths = counts.groupBy("doc", "field").agg(F.max("len").alias("len"))
     lengths.groupBy("field").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("avg_len")).write.parquet(f"{path}/fields")
     words = spark.read.parquet(f"{path}/terms").select("term").distinct()
-    gone = words.select(F.explode(deletions(F.col("term"), F.lit(2))).alias("part"), "term")
+    gone = words.select(F.explode(parts_of_term(F.col("term"))).alias("part"), "term")
     gone.repartitionByRange("part", "term").sortWithinPartitions("part").write.parquet(f"{path}/deletions")
     return read(spark, path)
 
@@ -157,12 +164,50 @@ def deletions(word: Column, most: Column) -> Column:
     return F.array_distinct(F.concat(F.array(word), first, second))
 
 
+def _segment(i: int, size: Column) -> tuple[Column, Column]:
+    """Where the i-th of three segments of a term of that length starts, from 1, and its length."""
+    cut = lambda j: F.floor(size * j / 3).cast("int")
+    return cut(i) + 1, cut(i + 1) - cut(i)
+
+
+def _segment_key(i: int, size: Column, segment: Column) -> Column:
+    """A part that no deletion of a term equals, as terms hold no blanks."""
+    return F.concat_ws(" ", size.cast("string"), F.lit(str(i)), segment)
+
+
+def parts_of_term(term: Column) -> Column:
+    """The parts by which a term is found: its deletions, or three segments with their place and the term's length."""
+    size = F.length(term)
+    segments = F.array(*[_segment_key(i, size, F.substr(term, *_segment(i, size))) for i in range(3)])
+    return F.when(size <= SHORT, deletions(term, F.lit(2))).otherwise(segments)
+
+
+def parts_of_word(word: Column, most: Column) -> Column:
+    """The parts of all terms within `most` (2 at most) edits of a word, for an equi join with parts_of_term().
+
+    If a term's segment is untouched, the edits before it shift it by s, those behind it make up for the rest of the
+    difference d of the lengths: |s| + |d - s| edits at least.
+    """
+    size, keys = F.length(word), []
+    for d in range(-2, 3):
+        other = size - d
+        for i in range(3):
+            start, width = _segment(i, other)
+            for s in range(-2, 3):
+                if abs(s) + abs(d - s) <= 2:
+                    fits = (F.lit(max(abs(s) + abs(d - s), abs(d))) <= most) & (other > SHORT) & (start + s >= 1) & (start + s + width - 1 <= size)
+                    keys.append(F.when(fits, _segment_key(i, other, F.substr(word, start + s, width))))
+    none = F.array().cast("array<string>")
+    return F.concat(F.when(size - most <= SHORT, deletions(word, most)).otherwise(none), F.array_distinct(F.array_compact(F.array(*keys))))
+
+
 def fuzzy_terms(words: DataFrame, index: Index) -> DataFrame:
-    """(word, term, distance): the index's terms within the edits that each word allows, by an equi join on deletions."""
+    """(word, term, distance): the index's terms within the edits that each word allows, by an equi join on their parts."""
     asked = words.select(F.lower("word").alias("word")).distinct().withColumn("most", edits_allowed(F.col("word")))
-    sent = asked.select("word", "most", F.explode(deletions(F.col("word"), F.col("most"))).alias("part"))
-    met = sent.join(index.deletions, "part").select("word", "most", "term").distinct()
-    return met.withColumn("distance", F.levenshtein("word", "term")).filter("distance <= most").drop("most")
+    sent = asked.select("word", "most", F.explode(parts_of_word(F.col("word"), F.col("most"))).alias("part"))
+    # those that are too far are left out before the pairs are shuffled; -1 is more than two
+    met = sent.join(index.deletions, "part").select("word", "most", "term", F.levenshtein("word", "term", 2).alias("distance"))
+    return met.filter("distance BETWEEN 0 AND most").select("word", "term", "distance").distinct()
 
 
 def fuzzy_scores(index: Index, query: str, boosts: dict[str, float]) -> DataFrame:

@@ -1,6 +1,7 @@
 """The relevance index against plain Python, its plans, and fuzzy look-up against row-wise distances."""
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -101,3 +102,39 @@ def test_fuzzy_scores(index):
 def test_phrases():
     assert relevance.phrases_of("Big_red fox") == ["Big red", "red fox", "fox big", "big red", "Big_red fox"]
     assert relevance.phrases_of("one") == ["one one", "one"] and relevance.phrases_of("") == []
+
+
+def test_fuzzy_parts_are_few_and_lose_no_pair(spark, tmp_path):
+    """Terms of all lengths around where segments begin; a long term has three parts, not the square of its length."""
+    rng = random.Random(7)
+    base = ["".join(rng.choices("abé", k=n)) for n in (1, 2, 3, 4, 5, 5, 6, 6, 7, 7, 8, 8, 9, 10, 13, 40)]
+
+    def edited(w):
+        for _ in range(rng.randint(0, 3)):
+            at, kind = rng.randint(0, len(w)), rng.randrange(3)
+            w = w[:at] + rng.choice("abé") * (kind < 2) + w[at + (kind > 0) :]
+        return w
+
+    terms = sorted({t for w in base for t in (w, *(edited(w) for _ in range(25))) if t} | {"x" * 300})
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(terms)], "id long, name string")
+    index = relevance.build(docs, "id", {"name": F.col("name")}, str(tmp_path / "i"))
+    assert index.deletions.filter("length(term) > 6").groupBy("term").count().filter("count > 3").count() == 0
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    most = lambda w: 0 if len(w) <= 2 else 1 if len(w) <= 5 else 2
+    want = {(a, b, distance(a, b)) for a in terms for b in terms if abs(len(a) - len(b)) <= 2 and distance(a, b) <= most(a)}
+    got = relevance.fuzzy_terms(spark.createDataFrame([(t,) for t in terms], "word string"), index).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_repeated_ids_are_one_document(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (1, "a"), (2, "a"), (None, "b"), (None, "c")], "id long, name string")
+    index = relevance.build(docs, "id", {"name": F.col("name")}, str(tmp_path / "i"))
+    assert {(r.doc, r.term, r.tf, r.len) for r in index.postings.collect()} == {(1, "a", 2, 3), (1, "b", 1, 3), (2, "a", 1, 1)} | {(None, "b", 1, 2), (None, "c", 1, 2)}
