@@ -14,7 +14,9 @@ from quarry.functions.idents import entity_iri
 def match_patterns(triples: DataFrame, patterns: list[tuple[str, str, str]]) -> DataFrame:
     """Bindings of the variables (?x) of triple patterns: each pattern is a filter, patterns are joined on shared variables.
 
-    Patterns come in an order in which each shares a variable with those before it; otherwise it is an error.
+    Patterns come in an order in which each shares a variable with those before it; otherwise it is an error. Every
+    pattern's own bindings are made distinct: the natural join of sets is a set, so its rows, which may be the square of
+    the triples, are neither shuffled nor held.
     """
     out: DataFrame | None = None
     for pattern in patterns:
@@ -26,7 +28,7 @@ def match_patterns(triples: DataFrame, patterns: list[tuple[str, str, str]]) ->
                 names.setdefault(part[1:], column)
             else:
                 rows = rows.filter(F.col(column) == F.lit(part))
-        bound = rows.select(*[F.col(c).alias(n) for n, c in names.items()])
+        bound = rows.select(*[F.col(c).alias(n) for n, c in names.items()]).distinct()
         if out is None:
             out = bound
             continue
@@ -34,7 +36,7 @@ def match_patterns(triples: DataFrame, patterns: list[tuple[str, str, str]]) ->
         if not shared:
             raise ValueError(f"{pattern} shares no variable with the patterns before it")
         out = out.join(bound, shared)
-    return out.distinct()
+    return out
 
 
 def ids_of(spark: SparkSession, given: str) -> DataFrame:

@@ -16,9 +16,17 @@ def current_triples(triples: DataFrame, ranges: DataFrame, subject: Column | Non
     return own.join(live, own["id"] == live["triplet_id"]).select("subject", "predicate", "object").distinct()
 
 
+#: Up to so many kinds of extraction are broadcast.
+BROADCAST_ROWS = 100_000
+
+
 def triples_with_extraction(triples: DataFrame, ranges: DataFrame, info: DataFrame) -> DataFrame:
-    """Every triple's ranges with how they were extracted; info (id, method_description, extraction_confidence)."""
+    """Every triple's ranges with how they were extracted; info (id, method_description, extraction_confidence).
+
+    A few kinds of extraction may have all ranges: a small info is broadcast, so that no task gets all ranges of a kind.
+    """
     how = info.select(F.col("id").alias("extraction_info_id"), "method_description", "extraction_confidence")
+    how = F.broadcast(how) if how.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else how
     own = triples.select(F.col("id").alias("triplet_id"), "subject", "predicate", "object")
     return own.join(ranges, "triplet_id").join(how, "extraction_info_id").select(
         "subject", "predicate", "object", "use_start", "use_end", "deprecated", "method_description", "extraction_confidence"

@@ -390,7 +390,7 @@ def legacy_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def legacy_with_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = versions.triples_with_extraction(*_legacy(spark, sf_dir))
-    return rows.groupBy("subject", "object", "deprecated", "method_description").agg(F.count(F.lit(1)).alias("n"), F.max(F.date_format("use_end", "yyyy-MM-dd")).alias("last_end"))
+    return rows.groupBy("subject", "object", "deprecated", "method_description").agg(F.count(F.lit(1)).alias("n"), F.date_format(F.max("use_end"), "yyyy-MM-dd").alias("last_end"))
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from quarry.operators import cards, graph, records, temporal, triples
+from quarry.operators import cards, fields, graph, records, temporal, triples, versions
 from quarry.sources import readers, writers
 from quarry.streaming import incremental
 
@@ -140,3 +140,24 @@ def test_streams(spark, tmp_path):
     q = once.writeStream.format("memory").queryName("once").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.k for r in spark.sql("select * from once").collect()) == ["a", "b"]
+
+
+def test_bindings_are_distinct_without_a_distinct_of_the_join(spark):
+    rows = [("a", "p", "x", True), ("a", "p", "x", False), ("b", "p", "x", True), ("b", "q", "x", True), ("c", "p", "y", True), ("a", "p", "a", True)]
+    store = spark.createDataFrame(rows, "s string, p string, o string, o_is_iri boolean")
+    found = fields.match_patterns(store, [("?a", "p", "?n"), ("?b", "p", "?n")])
+    assert sorted((r.a, r.b, r.n) for r in found.collect()) == [("a", "a", "a"), ("a", "a", "x"), ("a", "b", "x"), ("b", "a", "x"), ("b", "b", "x"), ("c", "c", "y")]
+    assert [tuple(r) for r in fields.match_patterns(store, [("?a", "p", "?a")]).collect()] == [("a",)]
+    top = found._jdf.queryExecution().optimizedPlan()
+    while top.nodeName() == "Project":
+        top = top.children().head()
+    assert top.nodeName() == "Join"
+
+
+def test_few_kinds_of_extraction_are_broadcast(spark, tmp_path):
+    own = spark.range(20).selectExpr("id", "'s' || id AS subject", "'p' AS predicate", "'o' AS object")
+    ranges = spark.range(20).selectExpr("id AS triplet_id", "0 AS use_start", "1 AS use_end", "false AS deprecated", "id % 2 AS extraction_info_id")
+    info = spark.createDataFrame([(0, "parsed", 1.0), (1, "inferred", 0.5)], "id long, method_description string, extraction_confidence double")
+    found = versions.triples_with_extraction(own, ranges, info)
+    assert "hashpartitioning(extraction_info_id" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.filter("method_description = 'inferred'").count() == 10
