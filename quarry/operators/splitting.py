@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.operators import search
+from quarry.functions.maths import search_score
 
 SEPARATORS = ("\n\n", "\n", " ", "")
 #: Where a model's text has sections of its own.
@@ -111,19 +111,31 @@ def chunks(docs: DataFrame, text: Column, size: int = 1000, overlap: int = 200,
 
 
 def hashed_vector(text: Column, dims: int = 64) -> Column:
-    """A text's words counted in `dims` slots by their hash: a stand-in for a trained embedding."""
+    """A text's words counted in `dims` slots by their hash: a stand-in for a trained embedding.
+
+    The slots are sorted with each possible one put in once more, so a slot's count is the distance from its first place to the
+    next one's: no vector is built for each word.
+    """
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), 0)
-    slots = F.transform(words, lambda w: F.pmod(F.crc32(w), F.lit(dims)))
-    zeros = F.array_repeat(F.lit(0.0), dims)
-    place = lambda acc, s: F.transform(acc, lambda v, i: F.when(i == s, v + 1).otherwise(v))
-    return F.aggregate(slots, zeros, place)
+    slots = F.transform(words, lambda w: F.pmod(F.crc32(w), F.lit(dims)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(dims))
+    # transform() over an array of one binds a value: a lambda evaluates all that it names from outside again and again
+    firsts = F.transform(F.array(F.sort_array(F.concat(slots, every))), lambda s: F.transform(every, lambda i: F.array_position(s, i)))
+    counts = F.transform(firsts, lambda at: F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda i: (F.get(at, i + 1) - F.get(at, i) - 1).cast("double")))
+    return F.get(counts, F.lit(0))
 
 
 def nearest_chunks(chunked: DataFrame, question: str, id_cols: list[str], k: int = 3) -> DataFrame:
-    """The k chunks nearest to a question, best first, ties by id; chunks without words are left out."""
-    key = F.struct(*id_cols, "n")
-    vectors = chunked.withColumn("key", key).withColumn("vector", F.when(F.col("chunk").rlike(r"[\p{L}\p{N}]"), hashed_vector(F.col("chunk"))))
-    return search.vector_top_k(vectors, hashed_vector(F.lit(question)), k, "key", "vector").select("key", "chunk", "score")
+    """The k chunks nearest to a question, best first, ties by id, then by chunk; chunks without words are left out.
+
+    Rows without words are filtered by their text: a filter on a vector or a score would compute these once more in each place.
+    """
+    spoken = lambda text: text.rlike(r"[\p{L}\p{N}]")
+    asked = F.array(*[F.lit(v) for v in chunked.sparkSession.range(1).select(hashed_vector(F.lit(question))).first()[0]])
+    rows = chunked.filter(spoken(F.col("chunk")) & spoken(F.lit(question)))
+    vectors = rows.select(F.struct(*id_cols, "n").alias("key"), "chunk", hashed_vector(F.col("chunk")).alias("vector"))
+    scored = vectors.select("key", "chunk", search_score(F.col("vector"), asked).alias("score"))
+    return scored.orderBy(F.desc("score"), "key", "chunk").limit(k)
 
 
 def answer_prompt(found: DataFrame, question: str, template: str = "Context:\n{context}\n\nQuestion: {question}\nAnswer:") -> DataFrame:

@@ -105,3 +105,28 @@ def test_prompt(spark):
     assert [r.key.doc_id for r in found.collect()] == [i for _, i, _ in best]
     prompt = splitting.answer_prompt(found, asked).first().prompt
     assert prompt == "Context:\n" + "\n\n".join(t for _, _, t in best) + "\n\nQuestion: Red fox?\nAnswer:"
+
+
+def test_vectors_are_made_once(spark):
+    """A chunk's words are hashed at one place of the plan, whatever filters on vector and score stand above it."""
+    rows = spark.createDataFrame([(1, "red fox", 0, "red fox")], "doc_id long, text string, n int, chunk string")
+    plan = splitting.nearest_chunks(rows, "Red fox?", ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("crc32(") == 1
+
+
+def test_vectors_count_words_by_slot(spark):
+    texts = [None, "", "...", "a", "Ab ab AB 7", " ".join(f"w{i % 97}" for i in range(5000))]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    for dims in (1, 64):
+        got = {r.i: list(r.v) for r in rows.select("i", splitting.hashed_vector(F.col("text"), dims).alias("v")).collect()}
+        for i, t in enumerate(texts):
+            want = [0.0] * dims
+            for w in re.findall(r"[^\W_]+", (t or "").lower()):
+                want[zlib.crc32(w.encode()) % dims] += 1
+            assert got[i] == want
+
+
+def test_ties_and_questions_without_words(spark):
+    rows = spark.createDataFrame([(1, 0, "fox red"), (1, 0, "Red fox"), (1, 0, "red fox"), (2, 0, "whale")], "doc_id long, n int, chunk string")
+    assert [r.chunk for r in splitting.nearest_chunks(rows, "red fox", ["doc_id"], 2).collect()] == ["Red fox", "fox red"]
+    assert splitting.nearest_chunks(rows, "?!", ["doc_id"]).count() == 0
