@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+from array import array
 from collections.abc import Iterator
+from operator import itemgetter
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -36,85 +35,95 @@ class ChangeLog(StatefulProcessor):
     """A key's values in event time, and what each arrival changes in its log.
 
     State: the value that is settled, up to when, and the observations after it, which late records may still alter. An
-    event-time timer settles those that the watermark has passed, so state holds one watermark's delay of a key.
+    event-time timer settles those that the watermark has passed, so state holds one watermark's delay of a key. It is
+    packed, times and places in the list of distinct values, as the API goes over every element of a list by itself.
+    Keys are many and small, so all is done on rows: a data frame takes longer to make than a key's rows to handle.
     """
 
-    def __init__(self, key: str, value: str, at: str, schema: StructType):
-        self.key, self.value, self.at, self.schema = key, value, at, schema
+    def __init__(self, key: str, value: str, kind: str):
+        self.value, self.kind = value, kind
+        self.row = Row(key, value, "us", "sign")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        kind = self.schema[self.value].dataType.simpleString()
         self.handle = handle
-        self.state = handle.getValueState("log", f"known boolean, settled {kind}, until long, times array<long>, vals array<{kind}>")
-
-    def _load(self) -> tuple[bool, object, int, np.ndarray, np.ndarray]:
-        if not self.state.exists():
-            return False, None, np.iinfo(np.int64).min, np.zeros(0, np.int64), np.zeros(0, object)
-        known, settled, until, times, values = self.state.get()
-        return known, settled, until, np.array(list(times), np.int64), _objects(values)
-
-    def _save(self, known: bool, settled: object, until: int, times: np.ndarray, values: np.ndarray) -> None:
-        self.state.update((bool(known), settled, int(until), times.tolist(), values.tolist()))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        known, settled, until, times, values = self._load()
+        self.state = handle.getValueState("log", f"known boolean, settled {self.kind}, until long, times binary, places binary, vals array<{self.kind}>")
+
+    def _load(self) -> tuple[bool, object, int, dict[int, object]]:
+        """Known, settled, until, and the observations in order of time."""
+        held = self.state.get()
+        if held is None:
+            return False, None, _NEVER, {}
+        known, settled, until, times, places, values = held
+        values = [_canonical(v) for v in values]
+        return known, _canonical(settled), until, dict(zip(_unpacked(times), [values[i] for i in _unpacked(places)]))
+
+    def _save(self, known: bool, settled: object, until: int, seen: dict[int, object]) -> None:
+        place: dict[object, int] = {}
+        places = [place.setdefault(v, len(place)) for v in seen.values()]
+        self.state.update((known, settled, until, array("q", seen).tobytes(), array("q", places).tobytes(), list(place)))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        known, settled, until, held = self._load()
         passed = max(until, timerValues.getCurrentWatermarkInMs() * 1000)  # the timers of this batch come after its rows
-        fresh = not len(times)
-        before = set(_changes(known, settled, times, values))
-        for frame in rows:  # one Arrow batch of the key at a time
-            moments = frame[self.at].to_numpy("datetime64[us]").astype(np.int64)
-            usable = frame[self.at].notna().to_numpy() & (moments > passed)
-            times, values = _merged(np.concatenate([times, moments[usable]]), np.concatenate([values, _objects(frame[self.value])[usable]]))
-        after = set(_changes(known, settled, times, values))
-        self._save(known, settled, until, times, values)
-        if fresh and len(times):
-            self.handle.registerTimer(int(times[0]) // 1000 + 1)
-        out = [(t, v, -1) for t, v in before - after] + [(t, v, 1) for t, v in after - before]
-        if out:
-            yield pd.DataFrame(
-                {
-                    self.key: pd.Series([key[0]] * len(out), dtype=object),
-                    self.value: pd.Series([v for _, v, _ in out], dtype=object),
-                    "valid_from": pd.to_datetime([t for t, _, _ in out], unit="us"),
-                    "sign": np.array([s for _, _, s in out], np.int32),
-                }
-            )
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known, settled, until, times, values = self._load()
+        seen = dict(held)
+        for row in rows:
+            at, value = row["us"], _canonical(row[self.value])
+            if at is not None and at > passed and (at not in seen or _less(value, seen[at])):
+                seen[at] = value
+        if seen == held:
+            return
+        seen = dict(sorted(seen.items(), key=itemgetter(0)))
+        before, after = set(_changes(known, settled, held)), set(_changes(known, settled, seen))
+        self._save(known, settled, until, seen)
+        if not held:
+            self.handle.registerTimer(next(iter(seen)) // 1000 + 1)
+        for gone, sign in ((before - after, -1), (after - before, 1)):
+            for at, value in gone:
+                yield self.row(key[0], value, at, sign)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known, settled, until, seen = self._load()
         until = max(until, timerValues.getCurrentWatermarkInMs() * 1000)
-        done = int(np.searchsorted(times, until, side="right"))
-        if done:
-            known, settled = True, values[done - 1]
-        times, values = times[done:], values[done:]
-        self._save(known, settled, until, times, values)
-        if len(times):
-            self.handle.registerTimer(int(times[0]) // 1000 + 1)
+        for at in [at for at in seen if at <= until]:
+            known, settled = True, seen.pop(at)
+        self._save(known, settled, until, seen)
+        if seen:
+            self.handle.registerTimer(next(iter(seen)) // 1000 + 1)
         return iter([])
 
     def close(self) -> None:
         pass
 
 
-def _objects(values) -> np.ndarray:
-    out = np.empty(len(values), object)
-    out[:] = [None if v is None or v is pd.NA or v != v else v for v in values]
-    return out
+_NEVER = -(1 << 63)
+#: One object for all NaN, so that they are equal to each other, in tuples and sets too.
+_NAN = float("nan")
+
 
+def _canonical(value: object) -> object:
+    return value if value == value else _NAN
 
-def _merged(times: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Observations in order of time, one for each moment: the least value, a null only where there is no other."""
-    table = pd.DataFrame({"t": times, "v": values}).sort_values(["t", "v"], kind="stable", na_position="last").drop_duplicates("t")
-    return table["t"].to_numpy(), _objects(table["v"])
+
+def _less(a: object, b: object) -> bool:
+    """Whether the value goes before the other one, as in Spark: NaN is beyond all numbers; a null only where there is no other."""
+    if a is None or b is None:
+        return a is not None and b is None
+    return b is _NAN and a is not _NAN or a < b
+
+
+def _unpacked(numbers: bytes) -> array:
+    out = array("q")
+    out.frombytes(numbers)
+    return out
 
 
-def _changes(known: bool, settled: object, times: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, object]]:
+def _changes(known: bool, settled: object, seen: dict[int, object]) -> Iterator[tuple[int, object]]:
     """Moments whose value differs from the one before."""
     last, any_before = settled, known
-    for t, v in zip(times.tolist(), values):
-        if not any_before or v != last:
-            yield t, v
-        last, any_before = v, True
+    for at, value in seen.items():
+        if not any_before or value is not last and value != last:
+            yield at, value
+        last, any_before = value, True
 
 
 def changes(stream: DataFrame, key: str, value: str, at: str, delay: str = "7 days") -> DataFrame:
@@ -123,17 +132,17 @@ def changes(stream: DataFrame, key: str, value: str, at: str, delay: str = "7 da
     Records may come in any order within the delay: a late one enters the log where it belongs, and a row that is no
     change any more is taken back. Rows that the watermark has passed when they come are dropped, rows without a time too;
     of several values at one moment the least counts; nulls are a value. settled_log() folds the rows. Start the
-    query inside keyed_state().
+    query inside keyed_state(). Times go to the tasks and back as microseconds, whatever their time zone.
     """
     rows = stream.select(key, value, F.col(at).cast("timestamp").alias(at))
     kinds = dict(rows.dtypes)
-    return (
+    log = (
         rows.withWatermark(at, delay)
+        .select(key, value, F.unix_micros(at).alias("us"))
         .groupBy(key)
-        .transformWithStateInPandas(
-            ChangeLog(key, value, at, rows.schema), f"{key} {kinds[key]}, {value} {kinds[value]}, valid_from {kinds[at]}, sign int", "append", "EventTime"
-        )
+        .transformWithState(ChangeLog(key, value, kinds[value]), f"{key} {kinds[key]}, {value} {kinds[value]}, us long, sign int", "append", "EventTime")
     )
+    return log.select(key, value, F.timestamp_micros("us").alias("valid_from"), "sign")
 
 
 def settled_log(written: DataFrame, key: str, value: str) -> DataFrame:

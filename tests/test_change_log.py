@@ -70,3 +70,20 @@ def test_late_records_correct_the_log_until_the_watermark(spark, tmp_path):
         [("a", "z", t(80)), ("a", "x", t(90))],  # z stays as it is
     ]
     assert streamed(spark, tmp_path, files, "40 seconds") == [("a", "x", t(10)), ("a", "x", t(30)), ("a", "x", t(90)), ("a", "y", t(20)), ("a", "z", t(70))]
+
+
+def test_nan_is_a_value_of_its_own(spark, tmp_path):
+    """As in the table's log: NaN is not null, equals itself and goes behind all numbers."""
+    nan, t = float("nan"), lambda s: START + timedelta(seconds=s)
+    rows = [("a", 1.0, t(1)), ("a", nan, t(2)), ("a", nan, t(3)), ("a", None, t(4)), ("a", nan, t(5)), ("a", nan, t(5)), ("a", 2.0, t(6)), ("a", nan, t(6)), ("b", None, t(1)), ("b", nan, t(1))]
+    schema = "k string, v double, at timestamp"
+    for i in range(2):
+        spark.createDataFrame(rows[i::2], schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    log = incremental.changes(stream, "k", "v", "at", "1 hour")
+    with incremental.keyed_state(spark):
+        run = log.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/log")
+    run.awaitTermination()
+    got = incremental.settled_log(spark.read.schema(log.schema).parquet(f"{tmp_path}/log"), "k", "v")
+    want = incremental.change_log(spark.createDataFrame(rows, schema), "k", "v", "at")
+    assert want.count() == 6 and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
