@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.catalog import register
 from quarry.operators import languages
-from quarry.session import table
+from quarry.session import cut_lineage, table
 
 _COUNTS = r"""t AS (SELECT lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents WHERE lang IS NOT NULL),
     u AS (SELECT lang, ' ' || word || ' ' AS word, count(*) AS n FROM t GROUP BY 1, 2),
@@ -29,8 +29,8 @@ def _shares(texts: str, key: str) -> str:
 
 
 def _model(spark: SparkSession, sf_dir: str):
-    docs = table(spark, sf_dir, "documents")
-    return languages.likelihoods(languages.learn(docs, F.col("text"), F.col("lang")))
+    words = cut_lineage(languages.word_counts(table(spark, sf_dir, "documents"), F.col("text"), F.col("lang")))
+    return languages.likelihoods(languages.gram_counts(words), words)
 
 
 @register("language_ngrams", f"WITH {_COUNTS} SELECT lang, gram, n FROM c")

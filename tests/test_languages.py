@@ -71,3 +71,25 @@ def test_held_out_documents(spark):
     right = others.join(found, "doc_id", "left").agg(F.avg((F.col("code").eqNullSafe(F.col("lang"))).cast("int")).alias("right"), F.count(F.lit(1)).alias("n")).first()
     print(f"held out: {right['n']} documents, {right['right']:.4f} right")
     assert right["n"] > 100 and right["right"] > 0.97
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_frequent_words_change_nothing(spark, monkeypatch, broadcast, most):
+    """Whichever words are summed once, and whether the n-grams are broadcast or not."""
+    monkeypatch.setattr(languages, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(languages, "FREQUENT_WORDS", most)
+    rows = spark.createDataFrame(TEXTS, "id long, text string, lang string")
+    words = languages.word_counts(rows, F.col("text"), F.col("lang"))
+    model = languages.likelihoods(languages.gram_counts(words), words)
+    assert model.words.count() == min(most, 8)
+    asked = [*TEXTS, (7, "quite unknown", None), (8, "", None), (9, "123 ...", None), (10, "le la und " * 5_000, None)]
+    got = languages.confidences(spark.createDataFrame(asked, "id long, text string, lang string"), "id", F.col("text"), model)
+    assert {(r.id, r.code): r.confidence for r in got.collect()} == pytest.approx(brute(TEXTS, asked), abs=1e-9)
+
+
+def test_texts_are_cut_once_to_learn(spark):
+    """The model's totals, size and table read the counts, not the texts again."""
+    rows = spark.createDataFrame(TEXTS, "id long, text string, lang string")
+    model = languages.likelihoods(languages.learn(rows, F.col("text"), F.col("lang")))
+    assert "regexp_extract_all" not in model[0]._jdf.queryExecution().optimizedPlan().toString()
