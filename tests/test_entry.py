@@ -40,3 +40,10 @@ def test_a_broken_part_is_not_passed_over(tmp_path):
     (tmp_path / "quarry/llm/queries.py").write_text("import a_module_that_nobody_has")
     done = subprocess.run([sys.executable, "-c", SAY], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert done.returncode != 0 and "a_module_that_nobody_has" in done.stderr
+
+
+def test_another_copy_on_the_path_is_not_taken(tmp_path, monkeypatch):
+    monkeypatch.setenv("PYTHONPATH", str(REPO))
+    shutil.copy(REPO / "__spark_entry__.py", tmp_path)
+    shutil.copytree(REPO / "quarry", tmp_path / "quarry", ignore=shutil.ignore_patterns("__pycache__"))
+    assert "pipeline" not in registered(tmp_path)[0]
