@@ -28,7 +28,7 @@ SIZE, ALPHA = 3, 0.5
 #: Up to so many rows of the model are broadcast: below 20 MB with ten languages.
 BROADCAST_ROWS = 100_000
 MOST_LANGUAGES = 200
-#: So many frequent words are summed once and broadcast, with so many values in all: some 20 MB.
+#: So many frequent words are summed once and broadcast, with so many values in all: some 30 MB.
 FREQUENT_WORDS, FREQUENT_VALUES = 200_000, 800_000
 
 
