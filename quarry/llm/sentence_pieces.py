@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm._text import filled, sliced
-from quarry.llm.chunks import ChunkTable
+from quarry.llm.chunks import ChunkTable, packed_lists
 
 MARK = "▁"
 _CODECS: dict[str, Codec] = {}
@@ -49,10 +49,11 @@ class Codec:
         self.names = np.array([str(i) for i in range(size)], dtype=object)
         self.table = ChunkTable(self._segment, " ", r"\x20")
 
-    def _segment(self, chunks: list[str]) -> list[list[int]]:
+    def _segment(self, chunks: pa.Array) -> pa.Array:
         """Ids of marked words, each written with a space for every mark; the model puts the first mark back itself."""
-        ids = self.model.encode([c[1:] for c in chunks], num_threads=1)
-        return [self.lone_mark if c == " " else i for c, i in zip(chunks, ids)]
+        texts = chunks.to_pylist()
+        ids = self.model.encode([t[1:] for t in texts], num_threads=1)
+        return packed_lists([self.lone_mark if t == " " else i for t, i in zip(texts, ids)])
 
     def encode(self, texts: pa.Array, end: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, with their end ids or without, and n + 1 offsets into them."""
